@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import data, split_groups
+from . import chunking, data, split_groups
 from .near_duplicates import NearDuplicates
 
 
@@ -21,6 +21,24 @@ def p1_groups(spark: SparkSession, d: str) -> DataFrame:
     return _help_duplicates(spark, d).groups().withColumnRenamed("id", "pos")
 
 
+def _oversized(spark: SparkSession, d: str) -> DataFrame:
+    """The pieces of all values of the two help columns that are over the limit."""
+    fields = ("help_text", "container_help_text")
+    rows = data.table(spark, d, "tool_records").select("pos", *fields)
+    each = F.explode(F.array(*[F.struct(F.lit(f).alias("field"), F.col(f).alias("text")) for f in fields]))
+    values = rows.where(" OR ".join(f"octet_length({f}) > {chunking.LIMIT}" for f in fields)).select("pos", each.alias("v")).select(F.concat_ws(":", "pos", "v.field").alias("item"), "v.text")
+    pieces = chunking.split_texts(values, "item", "text")
+    return pieces.select(F.split_part("item", F.lit(":"), F.lit(1)).cast("long").alias("pos"), F.split_part("item", F.lit(":"), F.lit(2)).alias("field"), "piece_no", "begin", "stop", "piece")
+
+
+def p4_found(spark: SparkSession, d: str) -> DataFrame:
+    return _oversized(spark, d).where("piece_no = 0").select("pos", "field")
+
+
+def p4_pieces(spark: SparkSession, d: str) -> DataFrame:
+    return _oversized(spark, d)
+
+
 def _relations() -> dict:
     return {"suite": data.key("suite_id"), "package": data.key("package_id"), "dir": data.path_key("tool_dir")}
 
@@ -35,6 +53,10 @@ def p5_splits(spark: SparkSession, d: str) -> DataFrame:
     return split_groups.assign(records, "pos", _relations()).withColumnRenamed("id", "pos")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_groups, p5_found, p5_splits)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_groups, p4_found, p4_pieces, p5_found, p5_splits)}
 #: Equivalent SQL where SQL over whole tables is quick enough.
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {
+    "p4_found": """
+        SELECT pos, 'help_text' AS field FROM tool_records WHERE strlen(help_text) > 6000
+        UNION ALL SELECT pos, 'container_help_text' FROM tool_records WHERE strlen(container_help_text) > 6000""",
+}
