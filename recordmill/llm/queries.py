@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunking, data, split_groups
+from . import chunking, data, encoding, split_groups
 from .near_duplicates import NearDuplicates
 
 
@@ -53,7 +53,11 @@ def p5_splits(spark: SparkSession, d: str) -> DataFrame:
     return split_groups.assign(records, "pos", _relations()).withColumnRenamed("id", "pos")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_groups, p4_found, p4_pieces, p5_found, p5_splits)}
+def p6_ids(spark: SparkSession, d: str) -> DataFrame:
+    return encoding.encode(data.table(spark, d, "documents"), "doc_id", "text")
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_groups, p4_found, p4_pieces, p5_found, p5_splits, p6_ids)}
 #: Equivalent SQL where SQL over whole tables is quick enough.
 ORACLES: dict[str, str] = {
     "p4_found": """
