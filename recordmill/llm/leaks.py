@@ -1,20 +1,23 @@
 """Evaluation texts in training text: a positional inverted index, searched from the rarest terms.
 
-The corpus is indexed by parts: each part holds, for every term of the evaluation items, the list of its
-places in the part's texts. Items are searched phrase by phrase: of the rarest term in reach, the places
-are shifted to where the item would begin; these lists are intersected with those of the next terms; what
-is left is extended to the longest runs of consecutive equal words. An index of parts needs no shuffle,
-and all work follows the corpus. The items are sent to every part in blocks of checked size; more items
-make more blocks, not larger ones.
+The corpus is indexed by parts: each part holds, for every term of the evaluation items, the sorted list
+of its places in the part's texts. Items are cut into blocks of half the words that make a leak, so any
+leak holds a whole block. A block's phrase is found by taking the places of its rarest term, shifted to
+where the block would begin, and intersecting them with the equally shifted lists of the next rarer terms
+until all agree; the places left are extended to the longest runs of consecutive equal words. With a
+``slop``, blocks whose terms all occur, in any order, in a slightly longer window are returned as
+proximity matches. An index by parts needs no shuffle and all work follows the corpus. The items are sent
+to every part in batches of checked size; more items make more batches, not larger ones.
 
 Cases: null texts hold nothing; items of fewer words than ``min_words`` leak nowhere; very long texts
-and items are taken whole; an item met twice in a document is one row; repeated rows are found alike;
-no documents or items give no rows; other columns aren't read.
+and items are taken whole; an item met twice in a document is one row of ``leaks`` and two spans;
+repeated rows are found alike; no documents or items give no rows; other columns aren't read.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -24,35 +27,27 @@ from pyspark.sql import functions as F
 from .words import WORD
 
 #: Bytes of item texts that are sent to the executors at once.
-BLOCK_BYTES = 16 << 20
-#: Words of a part of the index.
-PART_WORDS = 2_000_000
-
-
-class Items:
-    """The items of a block as term numbers."""
-
-    def __init__(self, items: list[tuple[int, str]]) -> None:
-        self.number: dict[str, int] = {}
-        number = self.number
-        self.ids = np.array([i for i, _ in items], np.int64)
-        self.terms = [np.fromiter((number.setdefault(w, len(number)) for w in WORD.findall(t.lower())), np.int32) for _, t in items]
+BATCH_BYTES = 16 << 20
+#: Characters of a part of the index.
+PART_CHARS = 16_000_000
+SPANS = "doc long, item long, kind string, doc_word long, item_word long, words long"
 
 
 class Postings:
-    """Places of each term in one part of the corpus; texts are divided by a place that no term has."""
+    """Places of each term in one part of the corpus; a place that no term has divides the texts."""
 
     def __init__(self, texts: list[str | None], number: dict[str, int]) -> None:
         found = [WORD.findall(t.lower()) if t else [] for t in texts]
         counts = np.fromiter((len(ws) + 1 for ws in found), np.int64, len(found))
         self.starts = np.cumsum(counts) - counts
         get = number.get
-        flat = np.fromiter((x for ws in found for x in (*[get(w, -1) for w in ws], -1)), np.int32, int(counts.sum()))
+        flat = np.full(int(counts.sum()), -1, np.int32)
+        inside = np.ones(len(flat), bool)
+        inside[self.starts + counts - 1] = False
+        flat[inside] = np.fromiter((get(w, -1) for ws in found for w in ws), np.int32)
         self.flat = flat
-        order = np.argsort(flat, kind="stable")
-        ordered = flat[order]
-        self.bounds = np.searchsorted(ordered, np.arange(len(number) + 1))
-        self.order = order
+        self.order = np.argsort(flat, kind="stable")
+        self.bounds = np.searchsorted(flat[self.order], np.arange(len(number) + 1))
 
     def df(self, terms: np.ndarray) -> np.ndarray:
         return self.bounds[terms + 1] - self.bounds[terms]
@@ -60,49 +55,110 @@ class Postings:
     def places(self, term: int) -> np.ndarray:
         return self.order[self.bounds[term] : self.bounds[term + 1]]
 
-
-def phrase_matches(index: Postings, terms: np.ndarray, min_words: int) -> list[tuple[int, int, int]]:
-    """(place, item offset, words) of the maximal runs of at least ``min_words`` words of the item in the part."""
-    n = len(terms)
-    if n < min_words:
-        return []
-    df = index.df(terms)
-    # Every window of min_words words must hold an anchor: the rarest word of each window.
-    windows = np.lib.stride_tricks.sliding_window_view(df, min_words)
-    if not (windows.min(axis=1) > 0).any():
-        return []
-    anchors = np.unique(windows.argmin(axis=1) + np.arange(n - min_words + 1))
-    found: set[tuple[int, int]] = set()
+    def phrase(self, terms: np.ndarray) -> np.ndarray:
+        """Places where the terms stand in a row."""
+        df = self.df(terms)
+        by_rarity = np.argsort(df, kind="stable").tolist()
+        begins = self.places(terms[by_rarity[0]]) - by_rarity[0]
+        for k in by_rarity[1:]:
+            if not len(begins):
+                break
+            others = self.places(terms[k])
+            at = np.searchsorted(others, begins + k)
+            begins = begins[others[np.minimum(at, len(others) - 1)] == begins + k] if len(others) else begins[:0]
+        return begins
+
+    def near(self, terms: np.ndarray, slop: int) -> np.ndarray:
+        """Places of the rarest term around which all others occur within the phrase's length and ``slop``."""
+        df = self.df(terms)
+        by_rarity = np.argsort(df, kind="stable").tolist()
+        reach = len(terms) + slop - 1
+        at = self.places(terms[by_rarity[0]])
+        for k in by_rarity[1:]:
+            if not len(at):
+                break
+            others = self.places(terms[k])
+            at = at[np.searchsorted(others, at + reach, side="right") > np.searchsorted(others, at - reach)]
+        return at
+
+    def extended(self, begin: int, terms: np.ndarray, s: int, e: int) -> tuple[int, int]:
+        """The longest run [s, e) of the item's words that stand at ``begin`` + s ... in the part."""
+        flat, n = self.flat, len(terms)
+        while s > 0 and begin + s > 0 and flat[begin + s - 1] == terms[s - 1]:
+            s -= 1
+        while e < n and begin + e < len(flat) and flat[begin + e] == terms[e]:
+            e += 1
+        return s, e
+
+
+def item_spans(index: Postings, terms: np.ndarray, min_words: int, slop: int | None) -> list[tuple[str, int, int, int]]:
+    """(kind, place, item offset, words) of one item's matches in a part."""
+    block = (min_words + 1) // 2
+    found: dict[int, list[tuple[int, int]]] = {}
     out = []
-    for a in anchors.tolist():
-        if not df[a]:
-            continue
-        begins = index.places(terms[a]) - a
-        lo, hi = max(0, a - min_words + 1), min(n, a + min_words)
-        # The offset-adjusted lists of the rarest neighbours on each side: a run of min_words words around
-        # the anchor holds all words from some window's begin to its end, so one neighbour of any two that
-        # are min_words apart is in it.
-        left = lo + int(df[lo:a].argmin()) if lo < a else -1
-        right = a + 1 + int(df[a + 1 : hi].argmin()) if a + 1 < hi else -1
-        if len(begins) > 64:
-            keep = np.zeros(len(begins), bool)
-            for b in (left, right):
-                if b >= 0:
-                    keep |= np.isin(begins, index.places(terms[b]) - b, assume_unique=True)
-            # A run may reach past only one neighbour, or neither when both lie outside of it.
-            inside = [(s, s + min_words) for s in range(lo, min(a, n - min_words) + 1)]
-            if all(s <= left < e or s <= right < e for s, e in inside):
-                begins = begins[keep]
-        for begin in begins.tolist():
-            if any(begin == g and s <= a < e for g, s, e in ((g, s, e) for g, s, e in found)):
+    for k in range(0, len(terms) - block + 1, block):
+        for begin in (index.phrase(terms[k : k + block]) - k).tolist():
+            runs = found.setdefault(begin, [])
+            if any(s <= k < e for s, e in runs):
                 continue
-            s = e = a
-            flat = index.flat
-            while s > 0 and begin + s - 1 >= 0 and flat[begin + s - 1] == terms[s - 1]:
-                s -= 1
-            while e < n and begin + e < len(flat) and flat[begin + e] == terms[e]:
-                e += 1
+            s, e = index.extended(begin, terms, k, k + block)
+            runs.append((s, e))
             if e - s >= min_words:
-                found.add((begin, s, e))
-                out.append((begin + s, s, e - s))
+                out.append(("phrase", begin + s, s, e - s))
+    if slop is not None:
+        for k in range(0, len(terms) - min_words + 1, block):
+            out.extend(("proximity", place, k, min_words) for place in index.near(terms[k : k + min_words], slop).tolist())
     return out
+
+
+def _search(sent, min_words: int, slop: int | None):  # noqa: ANN001, ANN202
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number: dict[str, int] = {}
+        items = [(i, np.fromiter((number.setdefault(w, len(number)) for w in WORD.findall(t.lower())), np.int32)) for i, t in sent.value]
+        items = [(i, terms) for i, terms in items if len(terms) >= min_words]
+
+        def searched(ids: np.ndarray, texts: list[str | None]) -> pa.RecordBatch:
+            index = Postings(texts, number)
+            rows = [(item, *span) for item, terms in items for span in item_spans(index, terms, min_words, slop)]
+            item, kind, place, offset, words = zip(*rows, strict=True) if rows else ((),) * 5
+            place = np.array(place, np.int64)
+            doc = np.searchsorted(index.starts, place, side="right") - 1
+            arrays = [pa.array(ids[doc]), pa.array(item, pa.int64()), pa.array(kind, pa.string()), pa.array(place - index.starts[doc]), pa.array(offset, pa.int64()), pa.array(words, pa.int64())]
+            return pa.RecordBatch.from_arrays(arrays, names=[c.split()[0] for c in SPANS.split(", ")])
+
+        for batch in batches:
+            ids, texts = batch.column(0).to_numpy(zero_copy_only=False), batch.column(1).to_pylist()
+            part = np.cumsum([len(t or "") for t in texts]) // PART_CHARS
+            for p in np.unique(part).tolist():
+                lo, hi = np.searchsorted(part, [p, p + 1])
+                yield searched(ids[lo:hi], texts[lo:hi])
+
+    return run
+
+
+def _item_batches(items: DataFrame) -> Iterator[list[tuple[int, str]]]:
+    """The items by batches of at most BATCH_BYTES (or one item); the driver holds one batch at a time."""
+    batch, size = [], 0
+    for row in items.orderBy("item").toLocalIterator():
+        if batch and size + len(row["text"]) * 4 > BATCH_BYTES:
+            yield batch
+            batch, size = [], 0
+        batch.append((row["item"], row["text"]))
+        size += len(row["text"]) * 4
+    if batch:
+        yield batch
+
+
+def spans(documents: DataFrame, items: DataFrame, doc_id: str, item_id: str, text: str = "text", min_words: int = 12, slop: int | None = None) -> DataFrame:
+    """(doc, item, kind, doc_word, item_word, words): maximal phrase matches, and proximity matches if there is a slop."""
+    spark = documents.sparkSession
+    docs = documents.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text")).where("text IS NOT NULL AND doc IS NOT NULL")
+    wanted = items.select(F.col(item_id).cast("long").alias("item"), F.col(text).alias("text")).where("text IS NOT NULL AND item IS NOT NULL")
+    parts = [docs.mapInArrow(_search(spark.sparkContext.broadcast(batch), min_words, slop), SPANS) for batch in _item_batches(wanted)]
+    return reduce(DataFrame.union, parts) if parts else spark.createDataFrame([], SPANS)
+
+
+def leaks(documents: DataFrame, items: DataFrame, doc_id: str, item_id: str, text: str = "text", min_words: int = 12) -> DataFrame:
+    """(doc_id, item_id, spans, words) once for each document and item: matches and words in the longest."""
+    found = spans(documents, items, doc_id, item_id, text, min_words)
+    return found.groupBy(F.col("doc").alias(doc_id), F.col("item").alias(item_id)).agg(F.count("*").alias("spans"), F.max("words").alias("words"))

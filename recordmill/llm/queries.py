@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunking, data, encoding, split_groups
+from . import chunking, data, encoding, leaks, split_groups
 from .near_duplicates import NearDuplicates
 
 
@@ -57,7 +57,20 @@ def p6_ids(spark: SparkSession, d: str) -> DataFrame:
     return encoding.encode(data.table(spark, d, "documents"), "doc_id", "text")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_groups, p4_found, p4_pieces, p5_found, p5_splits, p6_ids)}
+def _leaks(spark: SparkSession, d: str) -> DataFrame:
+    return leaks.leaks(data.table(spark, d, "documents"), data.table(spark, d, "heldout_items"), "doc_id", "item_id")
+
+
+def p7_found(spark: SparkSession, d: str) -> DataFrame:
+    return _leaks(spark, d).select("doc_id", "item_id")
+
+
+def p7_items(spark: SparkSession, d: str) -> DataFrame:
+    """Documents and longest leak of each leaked item."""
+    return _leaks(spark, d).groupBy("item_id").agg(F.count("*").alias("documents"), F.max("words").alias("longest"))
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_groups, p4_found, p4_pieces, p5_found, p5_splits, p6_ids, p7_found, p7_items)}
 #: Equivalent SQL where SQL over whole tables is quick enough.
 ORACLES: dict[str, str] = {
     "p4_found": """
