@@ -26,11 +26,15 @@ def key(c: Column | str) -> Column:
     return F.when(~k.isin(STAND_INS), k)
 
 
-def path_key(c: Column | str) -> Column:
+def path_form(c: Column | str) -> Column:
     """A path without case, direction and doubling of separators, a leading ``./`` and outer separators."""
     p = F.regexp_replace(F.lower(trimmed(c)), r"[\\/]+", "/")
-    p = F.regexp_replace(F.regexp_replace(p, r"^(\./)+", ""), "^/|/$", "")
-    p = F.regexp_replace(trimmed(p), r"^(\./)+", "")
+    return F.regexp_replace(F.regexp_replace(p, r"^(\./)+", ""), "^/|/$", "")
+
+
+def path_key(c: Column | str) -> Column:
+    """``path_form``; null for blank values, stand-ins and the bare path ``.``."""
+    p = path_form(c)
     return F.when(~p.isin(STAND_INS), p)
 
 

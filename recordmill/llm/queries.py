@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunking, data, encoding, leaks, split_groups
+from . import chunking, data, encoding, leaks, split_groups, split_overlap
 from .near_duplicates import NearDuplicates
 
 
@@ -21,6 +21,35 @@ def p1_groups(spark: SparkSession, d: str) -> DataFrame:
     return _help_duplicates(spark, d).groups().withColumnRenamed("id", "pos")
 
 
+def _sides(spark: SparkSession, d: str) -> DataFrame:
+    """(pos, split, source, train) of the records that are in a split, once each."""
+    members = data.table(spark, d, "split_members").select("pos", F.lower(data.trimmed("split")).alias("split"), "source")
+    return members.where(F.col("split").isin("train", "validation", "test") & F.col("pos").isNotNull()).distinct().withColumn("train", F.col("split") == "train")
+
+
+def _across(spark: SparkSession, d: str) -> DataFrame:
+    """(train, eval) of the records that are the same or nearly the same on both sides."""
+    records = data.table(spark, d, "tool_records").select("pos", "help_text", "tool_id", "wrapper_path")
+    sides = _sides(spark, d).select("pos", "train").distinct()
+    texts = records.where(data.word_count("help_text") >= 40).join(sides, "pos").select(F.col("pos").alias("id"), "train", F.col("help_text").alias("text"))
+    alike = split_overlap.near_pairs(texts, threshold=0.6, shingle=3).select("train", "eval")
+    tool = F.regexp_replace(F.lower(data.trimmed("tool_id")), "[-_ ]", "_")
+    wrapper = data.path_form("wrapper_path")
+    keyed = records.select("pos", F.when(data.trimmed("tool_id") != "", tool).alias("tool"), F.when(wrapper != "", wrapper).alias("wrapper"))
+    same = split_overlap.same_keys(keyed.where("tool IS NOT NULL AND wrapper IS NOT NULL").join(sides, "pos").withColumnRenamed("pos", "id"), "tool", "wrapper")
+    return alike.union(same).distinct()
+
+
+def p3_found(spark: SparkSession, d: str) -> DataFrame:
+    return _across(spark, d).select(F.least("train", "eval").alias("pos_a"), F.greatest("train", "eval").alias("pos_b")).distinct()
+
+
+def p3_counts(spark: SparkSession, d: str) -> DataFrame:
+    """Pairs, and records with at least one, of each evaluation split and source."""
+    sides = _sides(spark, d).where("NOT train").select(F.col("pos").alias("eval"), "split", "source")
+    return _across(spark, d).join(sides, "eval").groupBy("split", "source").agg(F.count("*").alias("pairs"), F.countDistinct("eval").alias("records"))
+
+
 def _oversized(spark: SparkSession, d: str) -> DataFrame:
     """The pieces of all values of the two help columns that are over the limit."""
     fields = ("help_text", "container_help_text")
@@ -70,7 +99,7 @@ def p7_items(spark: SparkSession, d: str) -> DataFrame:
     return _leaks(spark, d).groupBy("item_id").agg(F.count("*").alias("documents"), F.max("words").alias("longest"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_groups, p4_found, p4_pieces, p5_found, p5_splits, p6_ids, p7_found, p7_items)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_groups, p3_found, p3_counts, p4_found, p4_pieces, p5_found, p5_splits, p6_ids, p7_found, p7_items)}
 #: Equivalent SQL where SQL over whole tables is quick enough.
 ORACLES: dict[str, str] = {
     "p4_found": """
