@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunking, data, encoding, leaks, split_groups, split_overlap
+from . import chunking, data, encoding, garbled, leaks, split_groups, split_overlap
 from .near_duplicates import NearDuplicates
 
 
@@ -99,7 +99,15 @@ def p7_items(spark: SparkSession, d: str) -> DataFrame:
     return _leaks(spark, d).groupBy("item_id").agg(F.count("*").alias("documents"), F.max("words").alias("longest"))
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_groups, p3_found, p3_counts, p4_found, p4_pieces, p5_found, p5_splits, p6_ids, p7_found, p7_items)}
+def p8_found(spark: SparkSession, d: str) -> DataFrame:
+    return garbled.restore(data.table(spark, d, "documents"), "doc_id", "text").select("doc_id")
+
+
+def p8_restored(spark: SparkSession, d: str) -> DataFrame:
+    return garbled.restore(data.table(spark, d, "documents"), "doc_id", "text")
+
+
+QUERIES = {f.__name__: f for f in (p1_found, p1_groups, p3_found, p3_counts, p4_found, p4_pieces, p5_found, p5_splits, p6_ids, p7_found, p7_items, p8_found, p8_restored)}
 #: Equivalent SQL where SQL over whole tables is quick enough.
 ORACLES: dict[str, str] = {
     "p4_found": """
