@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import chunking, data, encoding, garbled, leaks, split_groups, split_overlap
+from . import chunking, data, encoding, garbled, leaks, residue, split_groups, split_overlap
 from .near_duplicates import NearDuplicates
 
 
@@ -21,6 +21,25 @@ def p1_groups(spark: SparkSession, d: str) -> DataFrame:
     return _help_duplicates(spark, d).groups().withColumnRenamed("id", "pos")
 
 
+HELP_FIELDS = ("help_text", "container_help_text", "container_usage_text")
+
+
+def p2_found(spark: SparkSession, d: str) -> DataFrame:
+    records = data.table(spark, d, "tool_records").select("pos", *HELP_FIELDS)
+    return residue.residue(records, "pos", HELP_FIELDS).withColumnRenamed("id", "pos")
+
+
+def p2_clean(spark: SparkSession, d: str) -> DataFrame:
+    """The records without residue, by their keys."""
+    records = data.table(spark, d, "tool_records").select("pos", "package_id", "tool_id", *HELP_FIELDS)
+    return residue.clean(records, "pos", HELP_FIELDS).select("pos", "package_id", "tool_id")
+
+
+def p2_validation(spark: SparkSession, d: str) -> DataFrame:
+    records = data.table(spark, d, "tool_records").select("pos", "shed_owner", *HELP_FIELDS)
+    return residue.validation(records, "pos", HELP_FIELDS, "shed_owner")
+
+
 def _sides(spark: SparkSession, d: str) -> DataFrame:
     """(pos, split, source, train) of the records that are in a split, once each."""
     members = data.table(spark, d, "split_members").select("pos", F.lower(data.trimmed("split")).alias("split"), "source")
@@ -107,7 +126,7 @@ def p8_restored(spark: SparkSession, d: str) -> DataFrame:
     return garbled.restore(data.table(spark, d, "documents"), "doc_id", "text")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_groups, p3_found, p3_counts, p4_found, p4_pieces, p5_found, p5_splits, p6_ids, p7_found, p7_items, p8_found, p8_restored)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_groups, p2_found, p2_clean, p2_validation, p3_found, p3_counts, p4_found, p4_pieces, p5_found, p5_splits, p6_ids, p7_found, p7_items, p8_found, p8_restored)}
 #: Equivalent SQL where SQL over whole tables is quick enough.
 ORACLES: dict[str, str] = {
     "p4_found": """
