@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import corpus
+from . import corpus, estimates, ops, relational, texts
 
-_PARTS = (corpus,)
+_PARTS = (corpus, estimates, texts, ops, relational)
 QUERIES: dict = {name: f for part in _PARTS for name, f in part.QUERIES.items()}
 ORACLES: dict[str, str] = {name: sql for part in _PARTS for name, sql in part.ORACLES.items()}
