@@ -273,6 +273,7 @@ ODD = re.compile("[^\x00-\x7f]{2}|[^\x00-\x7f]&|&#|;&")
 QUOTED = re.compile("((?<![^\\s(,;:])[“\"'`‘«(\\[„][^\x00-\x7f\\s]{1,8}[”\"'`’»)\\]“](?![^\\s),.;:!?]))")
 SENTENCE = re.compile(r"((?<=[.!?])\s+|(?<=。))")
 FOREIGN = re.compile("[^\x00-\x7f]")
+CYRILLIC = re.compile("[\u0400-\u04ff]")
 NOT_LATIN = re.compile("[\u0400-\u04ff\u3040-\u30ff]{2}")
 LOST_CHARACTER = re.compile("(?<![“\"'`‘«(\\[„])�|�(?![”\"'`’»)\\]])")
 
@@ -283,7 +284,7 @@ class Restorer:
     def _sentence(self, sentence: str) -> str:
         """A sentence in which one encoding was read as another that isn't UTF-8."""
         foreign = len(FOREIGN.findall(sentence))
-        if foreign < 6 or cost(sentence) < 0.7 * foreign:
+        if foreign < 6 or cost(sentence) < (0.7 if CYRILLIC.search(sentence) else 1.5) * foreign:
             return sentence
         better, gain = search(sentence, _confused_steps, 3)
         return better if gain >= (CHARACTER_GAIN if NOT_LATIN.search(better) else LATIN_GAIN) * foreign else sentence
