@@ -3,8 +3,8 @@
 Every partition links its edges in a local forest and passes on one edge for each node that isn't a
 root, so what is shuffled is bounded by nodes, not by edges, and a key that a third of all rows share
 costs each partition one edge. Forests then merge: while more edges are left than one task should
-hold, a level regroups them by node, links again inside each part and replaces edges with edges to the
-smallest neighbour (which halves the depth); the last level, of proven size, links in one task.
+hold, a level ties every node's neighbours to the smallest of them, from above and from below, and links
+again inside each part; the last level, of proven size, links in one task.
 Nothing is collected to the driver but counts.
 """
 
@@ -75,21 +75,24 @@ def connected_components(edges: DataFrame, one_task_edges: int = 1_000_000, max_
     shape = f"node {kind}, root {kind}"
     forest = edges.select(F.col(a).alias("node"), F.col(b).alias("root")).where("node IS NOT NULL AND root IS NOT NULL").mapInArrow(_forest_of, shape)
     level = written(forest, "forest-0")
+    if level.count() <= one_task_edges:
+        return level.coalesce(1).mapInArrow(_forest_of, shape)
+    nodes = level.select("node").union(level.select("root")).distinct()
+    level = level.where("node <> root")
     for k in range(1, max_levels):
+        # Every node's larger neighbours are tied to its smallest neighbour ...
+        both = level.union(level.select(F.col("root").alias("node"), F.col("node").alias("root")))
+        low = both.groupBy("node").agg(F.min("root").alias("low")).select("node", F.least("node", "low").alias("low"))
+        large = both.join(low, "node").where("root > node").select(F.col("root").alias("node"), F.col("low").alias("root")).distinct()
+        # ... then its smaller ones and itself.
+        least = large.groupBy("node").agg(F.min("root").alias("low"))
+        small = large.join(least, "node").where("root <> low").select(F.col("root").alias("node"), F.col("low").alias("root"))
+        merged = small.union(least.select("node", F.col("low").alias("root"))).distinct()
+        level = written(merged.mapInArrow(_forest_of, shape).where("node <> root").distinct(), f"forest-{k}")
+        several = level.groupBy("node").count().where("count > 1")
+        if several.isEmpty() and level.join(level.select(F.col("node").alias("root")), "root", "left_semi").isEmpty():
+            return nodes.join(level, "node", "left").select("node", F.coalesce("root", "node").alias("root"))  # stars
         if level.count() <= one_task_edges:
-            return level.coalesce(1).mapInArrow(_forest_of, shape)
-        smallest = level.groupBy("node").agg(F.min("root").alias("low"))
-        linked = level.join(smallest, "node").select(F.col("root").alias("node"), F.col("low").alias("root")).union(smallest.select("node", F.col("low").alias("root")))
-        turned = linked.select(F.greatest("node", "root").alias("node"), F.least("node", "root").alias("root")).distinct()
-        up = turned.groupBy("node").agg(F.min("root").alias("low"))
-        stars = turned.join(up, "node").select(F.col("root").alias("node"), F.col("low").alias("root")).union(up.select("node", F.col("low").alias("root")))
-        merged = stars.select(F.greatest("node", "root").alias("node"), F.least("node", "root").alias("root")).distinct()
-        following = written(merged, f"forest-{k}")
-        # Settled when every root is only its own root: then each node has one edge, to its component's smallest.
-        lower = following.where("node <> root").select(F.col("node").alias("root"))
-        several = following.where("node <> root").groupBy("node").count().where("count > 1")
-        if following.where("node <> root").join(lower, "root", "left_semi").isEmpty() and several.isEmpty():
-            roots = following.select(F.col("root").alias("node"), "root")
-            return following.where("node <> root").union(roots).distinct()
-        level = following
+            stars = written(level.coalesce(1).mapInArrow(_forest_of, shape), "stars")
+            return nodes.join(stars, "node", "left").select("node", F.coalesce("root", "node").alias("root"))
     raise RuntimeError(f"components didn't settle in {max_levels} levels")
