@@ -55,7 +55,7 @@ def _classes() -> tuple[np.ndarray, np.ndarray]:
     kind[0xD7] = kind[0xF7] = MATH
     kind[0x180:0x2000] = RARE
     kind[0x2C00:0x3000] = kind[0xA000:0xD800] = RARE
-    kind[0x300:0x370] = OTHER
+    kind[0x300:0x30D] = kind[0x327:0x329] = OTHER
     kind[0x370:0x400] = GREEK
     kind[0x400:0x460] = CYR_RARE
     kind[0x410:0x430], kind[0x430:0x450] = CYR_UP, CYR_LOW
@@ -102,6 +102,8 @@ def _neighbours() -> np.ndarray:
         cost[a, GREEK] = cost[GREEK, a] = 3
     for a in (ACC_LOW, ACC_UP, EXT_LOW, EXT_UP, CYR_LOW, CYR_UP, CYR_RARE, SYMBOL, TYPO, GREEK, BOX, MATH, RARE):
         cost[a, [KANA, HAN]] = cost[[KANA, HAN], a] = 3
+    for a in (LOWER, UPPER):  # a program's name stands beside kana, but not on both sides
+        cost[a, [KANA, HAN]] = cost[[KANA, HAN], a] = 1.5
     cost[CYR_LOW, NBSP] = cost[CYR_UP, QUOTE] = 1
     cost[np.ix_([GREEK, MATH, BOX], [SYMBOL, TYPO])] = 2
     cost[BOX, [OPENER, CLOSER, MATH, GREEK, ACC_LOW, ACC_UP]] = 3
