@@ -51,11 +51,13 @@ def range_boundaries(data: bytes, before: int, length: int, start: int) -> list[
     for level in LEVELS:
         ends = np.fromiter((m.end() for m in level.finditer(data)), np.int64) - before
         found.append(ends[(ends > 0) & (ends <= length)] + start)
-    raw = np.frombuffer(data, np.uint8)[before : before + length + 1]
-    firsts = np.flatnonzero((raw & 0xC0) != 0x80)
-    firsts = firsts[firsts > 0]
+    back = min(before, 8)  # the character before the range tells whether its first one begins a grid cell
+    raw = np.frombuffer(data, np.uint8)[before - back : before + length + 1]
+    firsts = np.flatnonzero((raw & 0xC0) != 0x80) - back
+    cells = (firsts + start) // GRID
     keep = np.ones(len(firsts), bool)
-    keep[1:] = firsts[1:] // GRID != firsts[:-1] // GRID
+    keep[1:] = cells[1:] != cells[:-1]
+    keep &= (firsts > 0) & (firsts <= length)
     found.append(firsts[keep] + start)
     return found
 
