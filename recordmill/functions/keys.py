@@ -104,7 +104,10 @@ def version_rank(required: Text, offered: Text) -> Column:
         .when(same_major, 4)
         .otherwise(5)
     )
-    return F.struct(tier.alias("tier"), version_distance(have, want).alias("distance"), version_text(offered).alias("version"))
+    distance = version_distance(have, want)
+    # Of other majors at one distance the newest is nearest.
+    by_major = F.concat(F.slice(distance, 1, 1), F.transform(F.slice(have, 2, 1_000), lambda x: -x))
+    return F.struct(tier.alias("tier"), F.when(tier == 5, by_major).otherwise(distance).alias("distance"), version_text(offered).alias("version"))
 
 
 def natural_key(x: Text) -> Column:

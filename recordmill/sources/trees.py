@@ -23,8 +23,18 @@ def files(spark: SparkSession, root: str, glob: str = "*", content: bool = True)
 
 
 def packages(spark: SparkSession, root: str, mark: str = ".shed.yml") -> DataFrame:
-    """(package_dir) of every folder with the mark file, whose content isn't read."""
-    return files(spark, root, mark, content=False).select(F.regexp_replace("path", "/[^/]*$", "").alias("package_dir")).distinct()
+    """(package_dir) of every folder with the mark file.
+
+    Spark's own listing leaves out names that begin with a dot, so the file system is asked; like any
+    listing this is the driver's work, and no file is opened.
+    """
+    place = spark._jvm.org.apache.hadoop.fs.Path(root)
+    found, walk = [], place.getFileSystem(spark._jsc.hadoopConfiguration()).listFiles(place, True)
+    while walk.hasNext():
+        path = walk.next().getPath()
+        if path.getName() == mark:
+            found.append((path.getParent().toString(),))
+    return spark.createDataFrame(found, "package_dir string")
 
 
 def wrappers(spark: SparkSession, root: str) -> DataFrame:
