@@ -22,6 +22,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .words import slices
+
 #: Fixed value: the pre-token pattern of the vocabulary.
 PATTERN = r"'(?:[sdmt]|ll|ve|re)| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 VOCABULARY = "/opt/tokenizers/byte_bpe_50k.tiktoken"
@@ -155,11 +157,11 @@ def encode(texts: DataFrame, id_col: str, text_col: str, vocabulary: str = VOCAB
         encoder = None
         for batch in batches:
             encoder = encoder or Encoder(load_ranks(sent.value))
-            for k in range(0, batch.num_rows, 1000):
-                part = batch.slice(k, 1000)
-                ids, offsets = encoder(part.column(1).to_pylist())
+            texts = batch.column(1).to_pylist()
+            for lo, hi in slices(texts, 1_000, 2_000_000):
+                ids, offsets = encoder(texts[lo:hi])
                 lists = pa.ListArray.from_arrays(pa.array(offsets.astype(np.int32)), pa.array(ids))
-                yield pa.RecordBatch.from_arrays([part.column(0), lists], names=[id_col, "ids"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), lists], names=[id_col, "ids"])
 
     rows = texts.select(F.col(id_col), F.col(text_col).cast("string"))
     return rows.mapInArrow(run, f"`{id_col}` {rows.schema[0].dataType.simpleString()}, ids array<int>")

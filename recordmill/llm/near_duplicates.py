@@ -18,7 +18,7 @@ from pyspark.sql.window import Window
 from ..session import written
 from .components import connected_components
 from .superminhash import packed, signatures
-from .words import WordHashes, content_keys, gram_hashes, hashed_words
+from .words import WordHashes, content_keys, gram_hashes, hashed_words, slices
 
 #: 48 bands of 4 places: a pair of likeness 0.6 shares no band once in 780 times, one of 0.65 once in 12,000.
 BANDS, ROWS = 48, 4
@@ -29,9 +29,10 @@ def _sign(bands: int, rows: int, shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            for k in range(0, batch.num_rows, 2000):
-                part = batch.slice(k, 2000)
-                flat, offsets = hashed_words(part.column(1).to_pylist(), hashes)
+            texts = batch.column(1).to_pylist()
+            for lo, hi in slices(texts):
+                part = batch.slice(lo, hi - lo)
+                flat, offsets = hashed_words(texts[lo:hi], hashes)
                 keys = content_keys(flat, offsets)
                 first: dict[bytes, int] = {}
                 of = [first.setdefault(key, i) for i, key in enumerate(keys)]  # copies in the batch are signed once
@@ -56,11 +57,13 @@ def _grams(shingle: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
         for batch in batches:
-            flat, offsets = hashed_words(batch.column(1).to_pylist(), hashes)
-            own, grams = gram_hashes(flat, offsets, shingle)
-            ends = np.searchsorted(own, np.arange(batch.num_rows + 1)).astype(np.int32)
-            lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(grams.view(np.int64), pa.int64()))
-            yield pa.RecordBatch.from_arrays([batch.column(0).cast(pa.int64()), lists], names=["id", "grams"])
+            texts = batch.column(1).to_pylist()
+            for lo, hi in slices(texts):
+                flat, offsets = hashed_words(texts[lo:hi], hashes)
+                own, grams = gram_hashes(flat, offsets, shingle)
+                ends = np.searchsorted(own, np.arange(hi - lo + 1)).astype(np.int32)
+                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(grams.view(np.int64), pa.int64()))
+                yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo).cast(pa.int64()), lists], names=["id", "grams"])
 
     return run
 

@@ -22,8 +22,8 @@ _UNIT = 1.0 / (1 << 53)
 def signatures(owner: np.ndarray, hashes: np.ndarray, sets: int, places: int, block: int = 40_000) -> np.ndarray:
     """(sets, places) float64; ``owner`` is sorted. Sets without elements get infinities.
 
-    Blocks of whole sets bound the memory of the permutations to about ``block * places`` bytes
-    (more only where one set alone is larger).
+    Blocks bound the memory of the permutations to about ``2 * block * places`` bytes; a larger set is
+    taken in parts, whose least values are those of the whole.
     """
     out = np.full((sets, places), np.inf)
     starts = np.searchsorted(owner, np.arange(sets + 1))
@@ -31,7 +31,9 @@ def signatures(owner: np.ndarray, hashes: np.ndarray, sets: int, places: int, bl
     while a < sets:
         b = max(a + 1, int(np.searchsorted(starts, starts[a] + block, side="right")) - 1)
         b = min(b, sets)
-        _block(owner[starts[a] : starts[b]] - a, hashes[starts[a] : starts[b]], out[a:b])
+        for k in range(starts[a], starts[b], block):
+            end = min(k + block, starts[b])
+            _block(owner[k:end] - a, hashes[k:end], out[a:b])
         a = b
     return out
 

@@ -6,6 +6,7 @@ A word is a longest run of letters and digits of the lower-cased text; an unders
 from __future__ import annotations
 
 import re
+from collections.abc import Iterator
 
 import numpy as np
 import xxhash
@@ -22,6 +23,19 @@ _M2 = np.uint64(0xC4CEB9FE1A85EC53)
 _S33 = np.uint64(33)
 
 
+def slices(texts: list[str | None], most_rows: int = 2_000, most_chars: int = 4_000_000) -> Iterator[tuple[int, int]]:
+    """Bounds of runs of texts of about ``most_chars`` characters, or of one longer text, so that memory is bounded."""
+    lo = chars = 0
+    for k, t in enumerate(texts):
+        n = len(t) if t else 0
+        if k > lo and (chars + n > most_chars or k - lo >= most_rows):
+            yield lo, k
+            lo, chars = k, 0
+        chars += n
+    if lo < len(texts):
+        yield lo, len(texts)
+
+
 class WordHashes(dict):
     """word -> 64-bit hash; forgets everything when it grows large, so memory is bounded."""
 

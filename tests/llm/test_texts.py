@@ -7,7 +7,7 @@ import re
 import pytest
 
 from recordmill.llm import chunking, encoding, garbled, leaks, residue
-from recordmill.llm.words import WordHashes
+from recordmill.llm.words import WordHashes, slices
 
 WORD = re.compile(r"[^\W_]+")
 SAMPLES = ["a paragraph. With sentences!\n\nAnd lines\nof words", "日本語の文。次の文。", "ACGT" * 900, "é" * 5000, "x\r\ny\r\n\r\nz ", "word " * 900, "🧬" * 2000]
@@ -230,3 +230,11 @@ def test_fit_separates_and_regularizes():
     odds = model.scores(owner, features, np.ones(400), 200)
     assert ((odds > 0) == (labels > 0)).all()
     assert fit(owner[:0], features[:0], np.ones(0), labels[:0]).scores(owner, features, np.ones(400), 200).sum() == 0
+
+
+def test_slices_cover_all_texts():
+    texts = ["a" * 5, None, "b" * 50, "", "c"] * 3 + [None]
+    got = list(slices(texts, 4, 20))
+    assert [k for lo, hi in got for k in range(lo, hi)] == list(range(len(texts)))
+    assert all(hi - lo <= 4 and (hi - lo == 1 or sum(len(t or "") for t in texts[lo:hi]) <= 20) for lo, hi in got)
+    assert list(slices([])) == []
