@@ -22,6 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import spread
 from .words import slices
 
 #: Fixed value: the pre-token pattern of the vocabulary.
@@ -164,4 +165,4 @@ def encode(texts: DataFrame, id_col: str, text_col: str, vocabulary: str = VOCAB
                 yield pa.RecordBatch.from_arrays([batch.column(0).slice(lo, hi - lo), lists], names=[id_col, "ids"])
 
     rows = texts.select(F.col(id_col), F.col(text_col).cast("string"))
-    return rows.mapInArrow(run, f"`{id_col}` {rows.schema[0].dataType.simpleString()}, ids array<int>")
+    return spread(rows).mapInArrow(run, f"`{id_col}` {rows.schema[0].dataType.simpleString()}, ids array<int>")

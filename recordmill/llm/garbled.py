@@ -26,6 +26,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import spread
+
 # Classes of characters.
 PLAIN, LOWER, UPPER, ACC_LOW, ACC_UP, EXT_LOW, EXT_UP, CYR_LOW, CYR_UP, CYR_RARE, GREEK, KANA, HAN, HALF, OPENER, CLOSER, SYMBOL, QUOTE, TYPO, BOX, CONTROL, LOST, MATH, OTHER, NBSP, RARE = range(26)
 LETTERS = (LOWER, UPPER, ACC_LOW, ACC_UP, EXT_LOW, EXT_UP, CYR_LOW, CYR_UP, CYR_RARE)
@@ -334,4 +336,4 @@ def restore(texts: DataFrame, id_col: str, text_col: str) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(kept)), pa.array(out, pa.string()), pa.array(whole)], names=[id_col, "restored", "whole"])
 
     rows = texts.select(F.col(id_col), F.col(text_col).cast("string")).where(F.col(text_col).rlike(r"[^\x00-\x7f]|&"))
-    return rows.mapInArrow(run, f"`{id_col}` {rows.schema[0].dataType.simpleString()}, restored string, whole boolean")
+    return spread(rows).mapInArrow(run, f"`{id_col}` {rows.schema[0].dataType.simpleString()}, restored string, whole boolean")

@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from ..session import spread
 from .words import WORD
 
 #: Bytes of item texts that are sent to the executors at once.
@@ -153,6 +154,7 @@ def spans(documents: DataFrame, items: DataFrame, doc_id: str, item_id: str, tex
     """(doc, item, kind, doc_word, item_word, words): maximal phrase matches, and proximity matches if there is a slop."""
     spark = documents.sparkSession
     docs = documents.select(F.col(doc_id).cast("long").alias("doc"), F.col(text).alias("text")).where("text IS NOT NULL AND doc IS NOT NULL")
+    docs = spread(docs)
     wanted = items.select(F.col(item_id).cast("long").alias("item"), F.col(text).alias("text")).where("text IS NOT NULL AND item IS NOT NULL")
     parts = [docs.mapInArrow(_search(spark.sparkContext.broadcast(batch), min_words, slop), SPANS) for batch in _item_batches(wanted)]
     return reduce(DataFrame.union, parts) if parts else spark.createDataFrame([], SPANS)

@@ -15,7 +15,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..session import written
+from ..session import spread, written
 from .components import connected_components
 from .superminhash import packed, signatures
 from .words import WordHashes, content_keys, gram_hashes, hashed_words, slices
@@ -97,7 +97,7 @@ class NearDuplicates:
     def __init__(self, texts: DataFrame, id_col: str, text_col: str, threshold: float = 0.8, shingle: int = 5, bands: int = BANDS, rows: int = ROWS) -> None:
         self.texts = texts.select(F.col(id_col).cast("long").alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text")).where("id IS NOT NULL")
         self.threshold, self.shingle, self.bands, self.rows = threshold, shingle, bands, rows
-        signed = written(self.texts.mapInArrow(_sign(bands, rows, shingle), SIG_SCHEMA), "signatures")
+        signed = written(spread(self.texts).mapInArrow(_sign(bands, rows, shingle), SIG_SCHEMA), "signatures")
         #: id, key; rep: the smallest id with the same word sequence.
         reps = signed.groupBy("key").agg(F.min("id").alias("rep"))
         self.members = written(signed.select("id", "key").join(reps, "key").select("id", "rep"), "members")
