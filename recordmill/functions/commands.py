@@ -95,3 +95,42 @@ def probes(program: Text, subcommands: Text, flags: tuple[str, ...] = ("--help",
     subs = F.transform(F.coalesce(col(subcommands), F.array().cast("array<string>")), lambda s: F.concat_ws(" ", col(program), s))
     bases = F.concat(F.array(col(program)), subs)
     return F.array_distinct(F.flatten(F.transform(bases, lambda b: F.array(*[F.concat_ws(" ", b, F.lit(f)) for f in flags]))))
+
+
+def relevance(program: Text, identity: Text, sources: Text, packages: Text, image: Text, hints: Text, generic_image: Column, strict: bool = False) -> Column:
+    """How well a program fits a record; higher is better and under 100 is no candidate.
+
+    ``identity``, ``sources``, ``packages`` and ``hints`` are arrays of names, ``image`` is a name. Fixed values: the
+    points for equal and for similar names.
+    """
+    from .keys import matching_keys
+    from .text import command_key
+
+    own = command_key(program)
+    keyed = lambda names: F.transform(F.coalesce(col(names), F.array().cast("array<string>")), lambda n: command_key(n))
+    same = lambda names: F.exists(keyed(names), lambda k: (k != "") & (k == own))
+    near = lambda names: F.exists(keyed(names), lambda k: matching_keys(program if isinstance(program, str) else own, k))
+    points = lambda equal, similar, names: F.when(same(names), equal).when(near(names), similar).otherwise(0)
+    shown = F.array(F.when(~generic_image, col(image)).otherwise(""))
+    total = points(180, 120, identity) + F.when(same(sources), 140).otherwise(0) + points(120, 70, packages) + points(110, 80, shown) + points(90, 55, hints)
+    void = generic_image & ~same(sources) & ~same(packages)
+    if strict:
+        void = void | (~same(sources) & ~near(packages) & ~same(packages) & ~near(shown))
+    return F.when((own == "") | void, 0).otherwise(total)
+
+
+_LIST_CALL = re.compile(r"""(?:subprocess\.)?(?:run|call|check_call|check_output|Popen)\s*\(\s*\[\s*(["'])([^"']+)\1(?:\s*,\s*(["'])([^"']+)\3)?""")
+_TEXT_CALL = re.compile(r"""(?:subprocess\.(?:run|call|check_call|check_output|Popen)|os\.system|system)\s*\(\s*f?(["'])(.+?)\1""")
+
+
+def script_commands(script: str | None) -> list[tuple[str, str]]:
+    """(program, sub-command) that a helper script starts, by lists and by command lines, each once."""
+    body = script or ""
+    found = [signature(" ".join(p for p in (m.group(2), m.group(4) or "") if p)) for m in _LIST_CALL.finditer(body)]
+    found += [signature(s) for m in _TEXT_CALL.finditer(body) for s in segments(m.group(2))]
+    return list(dict.fromkeys(f for f in found if f[0]))
+
+
+def helper_paths(command: str | None) -> list[str]:
+    """Script files beside the wrapper that a command refers to, each once."""
+    return list(dict.fromkeys(re.findall(r"\$__tool_directory__['\"}]*/([\w./-]+\.(?:py|R|r|pl|sh|rb|js))", command or "")))

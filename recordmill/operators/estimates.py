@@ -112,3 +112,22 @@ def sample_diagnostics(records: DataFrame) -> DataFrame:
         F.count_if(F.col("is_suite_root")).alias("suite_roots"),
         F.sum(F.length(text.filled("help_text"))).alias("help_chars"),
     )
+
+
+# Where feedback on a generated document may stand, and how much of it is used.
+FEEDBACK_COLUMNS = ["repair_feedback", "generation_repair_feedback", "wrapper_repair_feedback", "failed_generation_feedback"]
+GENERATED_CHARS, FEEDBACK_CHARS = 12_000, 4_000
+
+
+def repair_samples(records: DataFrame, columns: list[str] | None = None) -> DataFrame:
+    """(pos, items, generated, feedback): of records with feedback, how many items there are and the first.
+
+    The columns are arrays of struct(generated, feedback); items without either text don't count.
+    """
+    there = [c for c in columns or FEEDBACK_COLUMNS if c in records.columns]
+    if not there:
+        return records.sparkSession.createDataFrame([], "pos long, items int, generated string, feedback string")
+    every = F.concat(*[F.coalesce(F.col(c), F.array().cast(records.schema[c].dataType)) for c in there])
+    full = F.filter(F.transform(every, lambda i: F.struct(F.substring(text.stripped(i["generated"]), 1, GENERATED_CHARS).alias("generated"), F.substring(text.stripped(i["feedback"]), 1, FEEDBACK_CHARS).alias("feedback"))), lambda i: (i["generated"] != "") & (i["feedback"] != ""))
+    kept = records.select("pos", full.alias("f")).where(F.size("f") > 0)
+    return kept.select("pos", F.size("f").alias("items"), F.col("f")[0]["generated"].alias("generated"), F.col("f")[0]["feedback"].alias("feedback"))

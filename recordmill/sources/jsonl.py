@@ -93,3 +93,34 @@ def append_stream(stream: DataFrame, path: str, checkpoint: str, key: str):  # n
         batch.dropDuplicates([key]).write.mode("overwrite").json(f"{path}/batch={number}")
 
     return stream.writeStream.option("checkpointLocation", checkpoint).foreachBatch(put).trigger(availableNow=True).start()
+
+
+def document(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """One JSON document; a row of nulls where it is missing or broken."""
+    place = spark._jvm.org.apache.hadoop.fs.Path(path)
+    if not place.getFileSystem(spark._jsc.hadoopConfiguration()).exists(place):
+        return spark.createDataFrame([()], T.StructType([])).select(*[F.lit(None).cast(f.dataType).alias(f.name) for f in T._parse_datatype_string(schema).fields])
+    whole = spark.read.text(path, wholetext=True)
+    return whole.select(F.from_json("value", schema).alias("d")).select("d.*")
+
+
+def records_of(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The records of a document that is a list of them or holds it under ``records``; what isn't an object is left out."""
+    whole = spark.read.text(path, wholetext=True)
+    listed = F.from_json("value", f"array<struct<{schema}>>")
+    held = F.from_json("value", f"records array<struct<{schema}>>")["records"]
+    each = F.when(F.ltrim("value").startswith("["), listed).otherwise(held)
+    return whole.select(F.posexplode(each).alias("place", "r")).where("r IS NOT NULL").select("place", "r.*")
+
+
+def last_lines(spark: SparkSession, path: str, n: int) -> DataFrame:
+    """(pos, value) of the last ``n`` lines, in order."""
+    rows = spark.read.option("lineSep", "\n").text(path).withColumn("pos", F.monotonically_increasing_id())
+    return rows.orderBy(F.desc("pos")).limit(n).select("pos", "value").orderBy("pos")
+
+
+def last_valid(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """The last line of a log that is a JSON object, as one row; none if there is none."""
+    rows = spark.read.option("lineSep", "\n").text(path).withColumn("pos", F.monotonically_increasing_id())
+    good = rows.where(F.coalesce(F.json_object_keys("value").isNotNull(), F.lit(False)))
+    return good.agg(F.max_by("value", "pos").alias("v")).where("v IS NOT NULL").select(F.from_json("v", schema).alias("d")).select("d.*")

@@ -73,3 +73,23 @@ def archive_members(spark: SparkSession, root: str, glob: str = "*.{tar.gz,tgz,z
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True) if rows else ([], [], []), (pa.string(), pa.string(), pa.int64()), strict=True)], names=["path", "member", "size"])
 
     return files(spark, root, glob).select("path", "content").mapInArrow(members, "path string, member string, size long")
+
+
+def user_tools(spark: SparkSession, root: str, kind: str = "UserTool") -> DataFrame:
+    """(path, text) of YAML files whose class ends in ``kind``; broken ones are left out."""
+    text = files(spark, root, "*.{yml,yaml}").select("path", F.decode("content", "utf-8").alias("text"))
+    return text.where(markup.yaml_features("text")["kind"].endswith(kind))
+
+
+def package_files(spark: SparkSession, root: str) -> DataFrame:
+    """(package_dir, names): each package's tool files, sorted."""
+    return wrappers(spark, root).groupBy("package_dir").agg(F.array_sort(F.collect_list("name")).alias("names"))
+
+
+def known_terms(spark: SparkSession, built_in: list[str], path: str | None = None) -> DataFrame:
+    """(term): a list and the lines of a file, without comments and blanks, each once."""
+    base = spark.createDataFrame([(t,) for t in built_in], "term string")
+    if path is None:
+        return base.distinct()
+    extra = spark.read.text(path).select(F.trim(F.regexp_replace("value", "#.*$", "")).alias("term")).where("term <> ''")
+    return base.union(extra).distinct()

@@ -228,3 +228,107 @@ def test_relational(spark):
 
 def test_likeness_of_empty(spark):
     assert one(spark, numbers.jaccard(F.array().cast("array<string>"), F.array().cast("array<string>"))) == 1.0
+
+
+SCRIPT = """import numpy as np
+import os.path
+from scipy import stats as st, signal
+np.mean(x)
+np.mean(y)
+os.path.join(a)
+st.norm.pdf(1)
+signal.detrend(z)
+other(1)
+"""
+
+
+def test_script_facts(spark):
+    from recordmill.functions import documents
+
+    assert documents.python_calls(SCRIPT) == [("numpy.mean", 4), ("os.path.join", 6), ("scipy.stats.norm.pdf", 7), ("scipy.signal.detrend", 8)]
+    assert documents.python_calls(None) == []
+    assert one(spark, documents.r_calls(F.lit("dplyr::filter(x) ; dplyr::filter (y) a::b"))) == ["dplyr::filter"]
+    docs = one(spark, documents.parameter_docs(F.lit("#define MIN_LEN $x // default: 5 // (int) least length // more\nint a;")))
+    assert [tuple(d) for d in docs] == [("MIN_LEN", "$x", "5", "int", "least length more")]
+
+
+def test_snippets_and_subcommands(spark):
+    from recordmill.functions import documents
+
+    body = "\n".join(["a"] * 6 + ["usage: tool x"] + ["b"] * 9 + ["c"] * 20 + ["Usage: tool x"])
+    got = one(spark, documents.usage_snippets(F.lit(body)))
+    assert [(s.line, s.text.count("\n")) for s in got] == [(7, 10), (37, 3)]
+    twice = one(spark, documents.usage_snippets(F.lit("usage: t\n\n\n\n\n\n\n\n\n\n\nusage: t")))
+    assert [s.line for s in twice] == [1]
+    text_ = "usage: tool {sort,Sort, merge ,help}\n\nCommands:\n  index   makes an index\n  sort    sorts\n\n  no      not\n"
+    assert one(spark, documents.usage_subcommands(F.lit(text_))) == ["sort", "merge"]
+    assert documents.section_subcommands(text_) == ["index", "sort"]
+    assert one(spark, documents.plans(F.lit("tool"), F.lit(text_))) == ["tool sort", "tool merge", "tool index"]
+    assert one(spark, documents.plans(F.lit("tool"), F.lit("usage: tool"))) == ["tool"]
+    helps = F.create_map(F.lit("Tool  sort"), F.lit("A"), F.lit("tool"), F.lit("B"))
+    assert [one(spark, documents.focused_help(helps, F.lit(f))) for f in ("tool sort", "tool merge", "x")] == ["A", "B", ""]
+
+
+def test_bundle_names(spark):
+    import hashlib
+
+    from recordmill.functions import documents
+
+    sha = lambda t: hashlib.sha1(t.encode()).hexdigest()
+    rows = [({"b": "1", "a": "2"},), ({"a": "2"},), ({"a": None, "b": None},), ({},), (None,)]
+    got = [g[0] for g in values(spark, rows, "v map<string,string>", documents.bundle_name("v", "0"))]
+    assert got == [f"mulled-v2-{sha(chr(10).join('ab'))}:{sha('2' + chr(10) + '1')}-0", "a:2", f"mulled-v2-{sha(chr(10).join('ab'))}:0", "", ""]
+    urls = [u.url for u in one(spark, documents.fallback_urls(F.lit("https://github.com/o/r/releases/download/v1/a b.zip")))]
+    assert urls == ["https://github.com/o/r/archive/refs/tags/v1.tar.gz", "https://github.com/o/r/releases/download/v1/a%20b.zip"]
+
+
+def test_conversion(spark):
+    from recordmill.functions import convert
+
+    assert convert.unique(["a", "b", "a", "a"]) == ["a", "b", "a_2", "a_3"] and convert.identifier("9 x!") == "parameter_9_x"
+    there = convert.xml_to_yaml(WRAPPER.replace("run $x", "run $x ${y} ${x}"))
+    assert "shell_command: run $(inputs.x) ${y} $(inputs.x)" in there and "class: UserTool" in there
+    back, notes = convert.yaml_to_xml(there)
+    assert "<command>run $x ${y} $x</command>" in back and notes == []
+    assert convert.yaml_to_xml("class: UserTool\nshell_command: a $(other)")[1] == ["expression kept: other"]
+    assert convert.xml_to_yaml("<a") is None and convert.yaml_to_xml("x: [")[0] is None and convert.yaml_to_xml("a: 1") == (None, ["no tool"])
+    out, removed, changed = convert.finished("<tool id='a'><tests><test/><test/></tests></tool>", "b", None)
+    assert removed == 1 and changed and 'id="b"' in out and convert.finished("<t", "b", "c") == ("<t", 0, False)
+
+
+def test_wrapper_parts(spark):
+    doc = """<tool><requirements><requirement type="package" version="1.2">bwa</requirement><requirement>samtools</requirement><requirement type="set_environment">X</requirement><container>q/c:1</container></requirements>
+<command>bwa --help</command><inputs><param name="a" optional="true"/><param type="hidden" name="b"/></inputs><tests><test expect_num_outputs="1"><output name="o" file="f" ftype="bam"/></test></tests><help> one </help></tool>"""
+    got = [g[0] for g in values(spark, [(doc,), (WRAPPER,), ("<a",), (None,)], "x string", markup.parts("x"))]
+    assert (got[0].help, got[0].packages, got[0].versions, got[0].containers) == ("one", ["bwa", "samtools"], {"bwa": "1.2"}, ["q/c:1"])
+    assert got[0].tests[0].expect_outputs == "1" and got[0].tests[0].outputs[0].ftype == "bam" and got[0].help_only and got[0].optional_only
+    assert not got[1].help_only and not got[1].optional_only and got[2].help is None and got[3].tests is None
+
+
+def test_noise(spark):
+    assert one(spark, text.without_noise(F.lit("INFO:    Cleaning up image x\nusage: a\n\nINFO: kept"))) == "usage: a\n\nINFO: kept"
+    assert one(spark, text.without_error_head(F.lit("\n****\nError: unknown option -x\n warning: y\nusage: a\nerror: b"))) == "usage: a\nerror: b"
+    assert one(spark, text.without_error_head(F.lit("error: a"))) == "error: a"
+
+
+def test_helper_scripts():
+    body = "subprocess.run(['bwa', 'mem', x])\nos.system('samtools sort a && echo b')\nsubprocess.check_call([\"bwa\", \"mem\"])\nsubprocess.call(f'python -m tool run {x}')"
+    assert commands.script_commands(body) == [("bwa", "mem"), ("samtools", "sort"), ("tool", "run")]
+    assert commands.helper_paths("python '$__tool_directory__/a.py' && Rscript $__tool_directory__/b.R; cat $__tool_directory__/x.txt") == ["a.py", "b.R"]
+    from recordmill.functions import documents
+
+    assert documents.command_docs("x\nAvailable command line options\n\n-a one\n-b two\n\nrest") == [(2, "Available command line options\n-a one\n-b two")]
+
+
+def test_command_relevance(spark):
+    rows = [("bwa", ["bwa"], [], ["bwa"], "bwa", [], False), ("samtools", ["tools"], ["samtools"], ["sam-tools"], "x", [], False), ("cat", [], [], ["bwa"], "python", [], True), ("", ["a"], [], [], "", [], False), ("bwamem", [], [], ["bwamem2"], "", ["bwa"], False)]
+    got = values(spark, rows, "p string, i array<string>, s array<string>, k array<string>, m string, h array<string>, g boolean", commands.relevance("p", "i", "s", "k", "m", "h", F.col("g")))
+    assert [g[0] for g in got] == [180 + 120 + 110, 120 + 140 + 120, 0, 0, 70]
+
+
+def test_repair_samples(spark):
+    kind = "array<struct<generated:string,feedback:string>>"
+    rows = [(1, [("<a/>", "bad"), ("<b/>", "worse")], None), (2, [("", "x")], [("c", "d")]), (3, None, None)]
+    df = spark.createDataFrame(rows, f"pos long, repair_feedback {kind}, wrapper_repair_feedback {kind}")
+    assert {tuple(r) for r in estimates.repair_samples(df).collect()} == {(1, 2, "<a/>", "bad"), (2, 1, "c", "d")}
+    assert estimates.repair_samples(df.select("pos")).count() == 0

@@ -130,3 +130,50 @@ def test_append_stream(spark, tmp_path):
     for _ in range(2):  # again: the checkpoint knows what was written
         jsonl.append_stream(status.read_files(spark, str(tmp_path / "in")), str(tmp_path / "out"), str(tmp_path / "cp"), "key").awaitTermination()
     assert sorted(r.key for r in spark.read.json(str(tmp_path / "out")).select(F.col("key")).collect()) == ["a", "b"]
+
+
+def test_documents_and_logs(spark, tmp_path):
+    (tmp_path / "d.json").write_text('{\n "a": 1\n}')
+    (tmp_path / "broken.json").write_text("{")
+    assert [jsonl.document(spark, str(tmp_path / n), "a int").first()["a"] for n in ("d.json", "broken.json", "none.json")] == [1, None, None]
+    (tmp_path / "list.json").write_text('[{"a": 1}, {"a": 2}]')
+    (tmp_path / "held.json").write_text('{"records": [{"a": 3}]}')
+    assert [[r.a for r in jsonl.records_of(spark, str(tmp_path / n), "a int").orderBy("place").collect()] for n in ("list.json", "held.json")] == [[1, 2], [3]]
+    (tmp_path / "log").write_text('{"a": 1}\n{"a": 2}\nno\n')
+    assert jsonl.last_valid(spark, str(tmp_path / "log"), "a int").first()["a"] == 2
+    assert [r.value for r in jsonl.last_lines(spark, str(tmp_path / "log"), 2).collect()] == ['{"a": 2}', "no"]
+    (tmp_path / "empty").write_text("x\n")
+    assert jsonl.last_valid(spark, str(tmp_path / "empty"), "a int").count() == 0
+
+
+def test_sinks(spark, tmp_path):
+    from recordmill.sources import sinks
+
+    df = spark.createDataFrame([("a", 1, "x|y"), ("b", 2, None)], "key string, at int, note string")
+    assert sinks.markdown(df, "Report").splitlines()[4] == "| a | 1 | x\\|y |"
+    base = str(tmp_path / "s")
+    sinks.snapshot(df, base, "r1")
+    sinks.snapshot(df.where("at = 2"), base, "r2")
+    assert sinks.current(spark, base).count() == 1 and spark.read.parquet(f"{base}/runs/r1").count() == 2
+    sinks.upsert(df, str(tmp_path / "k"), "key", "at", 0)
+    sinks.upsert(spark.createDataFrame([("a", 5, "new")], df.schema), str(tmp_path / "k"), "key", "at", 1)
+    assert {(r.key, r["at"]) for r in spark.read.parquet(str(tmp_path / "k" / "version=1")).collect()} == {("a", 5), ("b", 2)}
+    sinks.document(df, str(tmp_path / "doc"))
+    assert spark.read.json(str(tmp_path / "doc")).count() == 2
+    assert [r.key for r in sinks.feedback(df, ["note"]).collect()] == ["a"]
+    blocks = spark.createDataFrame([(1, "<r>\n a</r>"), (2, "<r> a</r>"), (3, "b"), (4, None)], "id int, b string")
+    assert [(r.times, r.first) for r in sinks.repeated_blocks(blocks, "id", "b").collect()] == [(2, 1)]
+
+
+def test_yaml_and_terms(spark, tmp_path):
+    from recordmill.functions import markup
+
+    df = spark.createDataFrame([("name: é\ntags: [a, b]",), ("- a",), ("x: [",), (None,)], "t string")
+    got = [r.j for r in df.select(markup.yaml_json("t").alias("j")).collect()]
+    assert [json.loads(g) for g in got] == [{"name": "é", "tags": ["a", "b"]}, {}, {}, {}]
+    assert spark.range(1).select(markup.to_yaml(F.lit('{"a": [1]}')).alias("y")).first().y == "a:\n- 1\n"
+    (tmp_path / "terms").write_text("bam # alignments\n\n# none\nbed\n")
+    assert {r.term for r in trees.known_terms(spark, ["bam", "vcf"], str(tmp_path / "terms")).collect()} == {"bam", "bed", "vcf"}
+    (tmp_path / "u.yml").write_text("class: UserTool\nid: a")
+    (tmp_path / "v.yaml").write_text("class: Other")
+    assert [r.path.rsplit("/", 1)[-1] for r in trees.user_tools(spark, str(tmp_path)).collect()] == ["u.yml"]
