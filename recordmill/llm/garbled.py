@@ -56,7 +56,7 @@ def _classes() -> tuple[np.ndarray, np.ndarray]:
         kind[c] = (ACC_LOW if low else ACC_UP) if c < 0x100 or chr(c) in "œŒŸ" else (EXT_LOW if low else EXT_UP)
     kind[0xD7] = kind[0xF7] = MATH
     kind[0x180:0x2000] = RARE
-    kind[0x2C00:0x3000] = kind[0xA000:0xD800] = RARE
+    kind[0x27C0:0x3000] = kind[0xA000:0xD800] = RARE
     kind[0x300:0x30D] = kind[0x327:0x329] = OTHER
     kind[0x370:0x400] = GREEK
     kind[0x400:0x460] = CYR_RARE
@@ -121,21 +121,26 @@ BESIDE = _neighbours()
 REFERENCE = re.compile(r"&#\d{2,5};|&#[xX][0-9a-fA-F]{2,4};|&[A-Za-z]{2,8};")
 
 
-def cost(text: str) -> float:
-    """How implausible a text's characters are; plain ASCII costs nothing."""
+def costs(text: str) -> tuple[float, float]:
+    """How implausible a text's characters are alone, and beside each other; plain ASCII costs nothing."""
     codes = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
     kinds = KIND[np.minimum(codes, 0xFFFF)]
     kinds[codes > 0xFFFF] = OTHER
     kinds[(codes > 0xFFFF) & ((codes < 0x1F000) | (codes > 0x1FAFF))] = RARE
-    total = float(ALONE[np.minimum(codes, 0xFFFF)].sum()) + SINGLE[RARE] * float(((codes > 0xFFFF) & (kinds == RARE)).sum()) + float(BESIDE[kinds[:-1], kinds[1:]].sum())
+    total = float(ALONE[np.minimum(codes, 0xFFFF)].sum()) + SINGLE[RARE] * float(((codes > 0xFFFF) & (kinds == RARE)).sum())
+    beside = float(BESIDE[kinds[:-1], kinds[1:]].sum())
     both = np.flatnonzero((codes[:-1] > 0xBF) & (codes[1:] > 0xBF) & (codes[:-1] < 0x180) & (codes[1:] < 0x180))
-    total -= sum(2.0 for i in both if text[i : i + 2] in PAIRS)
+    beside -= sum(2.0 for i in both if text[i : i + 2] in PAIRS)
     han = int((kinds == HAN).sum())
     if han and not (kinds == KANA).any():
         total += 3.0 * han
     if "&" in text:
         total += 3.0 * len(re.findall(r"&#", text))
-    return total
+    return total, beside
+
+
+def cost(text: str) -> float:
+    return sum(costs(text))
 
 
 def _sloppy(encoding: str) -> dict[str, int]:
@@ -244,6 +249,16 @@ def _confused_steps(text: str) -> Iterator[tuple[str, bool, float]]:
         yield plain, False, STEP
 
 
+def plausible(text: str) -> bool:
+    """Whether a text's characters cost no more than those of right text do, and none is odd beside another."""
+    alone, beside = costs(text)
+    return beside <= 0 and alone <= (0.68 if CYRILLIC.search(text) else 1.05) * len(FOREIGN.findall(text)) + 0.5
+
+
+#: States that cost so much more than the text itself are no way to a cheaper one.
+DEAREST = 3.0
+
+
 def search(text: str, steps, most: int) -> tuple[str, float]:  # noqa: ANN001
     """(cheapest reachable text, how much it costs less than what no undone reading is needed for)."""
     first = cost(text)
@@ -264,8 +279,12 @@ def search(text: str, steps, most: int) -> tuple[str, float]:  # noqa: ANN001
                 baseline = min(baseline, value)
             elif value < best_cost:
                 best, best_cost = following, value
+            if value > first + DEAREST:
+                continue
             count += 1
             heapq.heappush(heap, (value, count, paid + price, following, undone or undid))
+        if best is not text and plausible(best):
+            break
     return best, baseline - best_cost
 
 
@@ -298,6 +317,8 @@ class Restorer:
             return passage
         better, gain = search(passage, _utf8_steps, 8)
         found = better if gain >= PASSAGE_GAIN else passage
+        if found != passage and plausible(found):
+            return found
         parts = [self._sentence(part) for part in SENTENCE.split(passage)]
         other = "".join(parts)
         if found == passage == other:
