@@ -118,22 +118,28 @@ def _neighbours() -> np.ndarray:
 
 KIND, ALONE = _classes()
 BESIDE = _neighbours()
-REFERENCE = re.compile(r"&#\d{2,5};|&#[xX][0-9a-fA-F]{2,4};|&[A-Za-z]{2,8};")
+ACCENTED = np.isin(np.arange(26), [ACC_LOW, ACC_UP, EXT_LOW, EXT_UP])
 
 
 def costs(text: str) -> tuple[float, float]:
     """How implausible a text's characters are alone, and beside each other; plain ASCII costs nothing."""
     codes = np.frombuffer(text.encode("utf-32-le", "replace"), np.uint32)
-    kinds = KIND[np.minimum(codes, 0xFFFF)]
-    kinds[codes > 0xFFFF] = OTHER
-    kinds[(codes > 0xFFFF) & ((codes < 0x1F000) | (codes > 0x1FAFF))] = RARE
-    total = float(ALONE[np.minimum(codes, 0xFFFF)].sum()) + SINGLE[RARE] * float(((codes > 0xFFFF) & (kinds == RARE)).sum())
+    top = int(codes.max()) if len(codes) else 0
+    if top > 0xFFFF:
+        emoji = (codes > 0xFFFF) & (codes >= 0x1F000) & (codes <= 0x1FAFF)
+        rare = (codes > 0xFFFF) & ~emoji
+        codes = np.where(emoji, 0x2700, np.where(rare, 0x2C00, codes))  # stand for their classes
+    kinds = KIND[codes]
+    total = float(ALONE[codes].sum())
     beside = float(BESIDE[kinds[:-1], kinds[1:]].sum())
-    both = np.flatnonzero((codes[:-1] > 0xBF) & (codes[1:] > 0xBF) & (codes[:-1] < 0x180) & (codes[1:] < 0x180))
-    beside -= sum(2.0 for i in both if text[i : i + 2] in PAIRS)
-    han = int((kinds == HAN).sum())
-    if han and not (kinds == KANA).any():
-        total += 3.0 * han
+    accents = ACCENTED[kinds]
+    accents = accents[:-1] & accents[1:]
+    if accents.any():
+        beside -= sum(2.0 for i in np.flatnonzero(accents) if text[i : i + 2] in PAIRS)
+    if top > 0x2FFF:
+        han = int((kinds == HAN).sum())
+        if han and not (kinds == KANA).any():
+            total += 3.0 * han
     if "&" in text:
         total += 3.0 * len(re.findall(r"&#", text))
     return total, beside
