@@ -10,6 +10,7 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -72,12 +73,12 @@ def _agree(bits: int):
     """Share of equal places of two packed signatures."""
 
     @F.pandas_udf("float")
-    def agree(a, b):  # noqa: ANN001, ANN202
+    def agree(a: pd.Series, b: pd.Series) -> pd.Series:
         if not len(a):
             return a.astype("float32")
         x = np.frombuffer(b"".join(a), np.uint16).reshape(len(a), bits)
         y = np.frombuffer(b"".join(b), np.uint16).reshape(len(b), bits)
-        return __import__("pandas").Series((x == y).mean(axis=1, dtype=np.float32))
+        return pd.Series((x == y).mean(axis=1, dtype=np.float32))
 
     return agree
 

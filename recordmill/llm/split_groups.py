@@ -10,8 +10,6 @@ rows; other columns of the input aren't read.
 
 from __future__ import annotations
 
-from functools import reduce
-
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
@@ -103,5 +101,4 @@ def assign(records: DataFrame, id_col: str, keys: dict[str, Column], targets: tu
 def split_shares(assigned: DataFrame) -> DataFrame:
     """(split, rows, share) of an assignment."""
     counts = assigned.groupBy("split").agg(F.count("*").alias("rows"))
-    total = reduce(lambda a, b: a + b, [F.sum("rows").over(Window.partitionBy())])
-    return counts.withColumn("share", F.col("rows") / total)
+    return counts.withColumn("share", F.col("rows") / F.sum("rows").over(Window.partitionBy()))  # one row a split
