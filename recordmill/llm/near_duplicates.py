@@ -8,6 +8,7 @@ repeated rows are rows like any other; no rows give no rows; other columns of th
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pandas as pd
@@ -103,20 +104,22 @@ class NearDuplicates:
         reps = signed.groupBy("key").agg(F.min("id").alias("rep"))
         self.members = written(signed.select("id", "key").join(reps, "key").select("id", "rep"), "members")
         self.signed = written(signed.join(reps.select(F.col("rep").alias("id")), "id", "left_semi").select("id", "n", "sig"), "representatives")
-        self.links = self._links()
+        #: band, id, n: the places where representatives meet.
+        self.meetings = self._meetings()
 
-    def _links(self) -> DataFrame:
-        """(a, b, likeness), a < b: all verified pairs of representatives."""
+    def _meetings(self) -> DataFrame:
         width = 2 * self.rows
         bands = self.signed.where("n > 0").select("id", "n", F.posexplode(F.transform(F.sequence(F.lit(0), F.lit(self.bands - 1)), lambda b: F.substring("sig", b * width + 1, F.lit(width)))).alias("band", "slice"))
         bands = bands.select("id", "n", F.xxhash64("band", "slice").alias("band"))
         # Most bands have one record: they go in the sort that the join needs anyway, before any pairing.
         near = Window.partitionBy("band").orderBy("id")
         shared = bands.withColumns({"before": F.lag("id").over(near), "after": F.lead("id").over(near)}).where("before IS NOT NULL OR after IS NOT NULL").select("band", "id", "n")
-        shared = written(shared, "bands")
+        return written(shared, "bands")
+
+    def _verified(self, pairs: DataFrame) -> DataFrame:
+        """(a, b, likeness) of the candidates (a, b, na, nb) that are over the threshold."""
         least = F.lit(self.threshold)
-        a, b = shared.select("band", F.col("id").alias("a"), F.col("n").alias("na")), shared.select("band", F.col("id").alias("b"), F.col("n").alias("nb"))
-        pairs = a.join(b, "band").where((F.col("a") < F.col("b")) & (F.least("na", "nb") >= least * F.greatest("na", "nb"))).select("a", "b").distinct()
+        pairs = pairs.where(F.least("na", "nb") >= least * F.greatest("na", "nb")).select("a", "b").distinct()
         # A signature of 192 places is off by 0.035: pairs more than five times that below the threshold aren't verified.
         places = self.bands * self.rows
         slack = 5 * (self.threshold * (1 - self.threshold) / places) ** 0.5
@@ -129,6 +132,36 @@ class NearDuplicates:
         checked = close.join(ga, "a").join(gb, "b").select("a", "b", likeness("ga", "gb").alias("likeness")).where(F.col("likeness") >= least)
         return written(checked, "links")
 
+    @cached_property
+    def links(self) -> DataFrame:
+        """(a, b, likeness), a < b: all verified pairs of representatives."""
+        m = self.meetings
+        a, b = m.select("band", F.col("id").alias("a"), F.col("n").alias("na")), m.select("band", F.col("id").alias("b"), F.col("n").alias("nb"))
+        return self._verified(a.join(b, "band").where(F.col("a") < F.col("b")))
+
+    @cached_property
+    def classes(self) -> DataFrame:
+        """(node, root) of the representatives that are linked to others, without pairing all members of a band.
+
+        First every member of a band is compared with the band's smallest id and what is linked is joined. Then
+        only members of one band that are still in different classes are compared, so a band that a third of
+        all rows share costs comparisons in proportion to its rows, and no link between classes is lost.
+        """
+        m = self.meetings
+        hubs = m.groupBy("band").agg(F.min(F.struct("id", "n")).alias("hub")).select("band", F.col("hub.id").alias("a"), F.col("hub.n").alias("na"))
+        stars = self._verified(m.select("band", F.col("id").alias("b"), F.col("n").alias("nb")).join(hubs, "band").where(F.col("a") < F.col("b")))
+        roots = written(connected_components(stars.select("a", "b")), "classes")
+        known = m.join(roots.select(F.col("node").alias("id"), "root"), "id", "left").select("band", "id", "n", F.coalesce("root", "id").alias("class"))
+        known = written(known, "known")
+        kinds = known.select("band", "class").distinct()
+        apart = kinds.select("band", F.col("class").alias("ca")).join(kinds.select("band", F.col("class").alias("cb")), "band").where("ca < cb")
+        one = known.select("band", F.col("class").alias("ca"), F.col("id").alias("x"), F.col("n").alias("nx"))
+        two = known.select("band", F.col("class").alias("cb"), F.col("id").alias("y"), F.col("n").alias("ny"))
+        met = apart.join(one, ["band", "ca"]).join(two, ["band", "cb"])
+        ordered = F.when(F.col("x") < F.col("y"), F.struct(F.col("x").alias("a"), F.col("y").alias("b"), F.col("nx").alias("na"), F.col("ny").alias("nb"))).otherwise(F.struct(F.col("y").alias("a"), F.col("x").alias("b"), F.col("ny").alias("na"), F.col("nx").alias("nb")))
+        more = self._verified(met.select(ordered.alias("p")).select("p.*"))
+        return connected_components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).union(more.select("a", "b")))
+
     def pairs(self) -> DataFrame:
         """(a, b, likeness), a < b: all pairs of rows, copies expanded."""
         m = self.members
@@ -138,11 +171,5 @@ class NearDuplicates:
         return across.union(copies)
 
     def groups(self) -> DataFrame:
-        """(id, class_id, links) for every row: the smallest id it is linked to through any chain, and its number of links to other texts."""
-        roots = connected_components(self.links.select("a", "b"))
-        degree = self.links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count("*").alias("links"))
-        return (
-            self.members.join(roots.withColumnRenamed("node", "rep"), "rep", "left")
-            .join(degree, "rep", "left")
-            .select("id", F.coalesce("root", "rep").alias("class_id"), F.coalesce("links", F.lit(0)).alias("links"))
-        )
+        """(id, class_id) for every row: the smallest id it is linked to through any chain."""
+        return self.members.join(self.classes.withColumnRenamed("node", "rep"), "rep", "left").select("id", F.coalesce("root", "rep").alias("class_id"))

@@ -124,3 +124,19 @@ def test_components_in_levels_equal_one_task(spark):
 def test_components_of_nothing(spark):
     df = spark.createDataFrame([(None, "a")], "a string, b string")
     assert connected_components(df).count() == 0 and connected_components(df, one_task_edges=0).count() == 0
+
+
+def test_hot_band_is_not_paired(spark):
+    """A third of all rows are near-copies of one text: the groups compare each with few others."""
+    rng = random.Random(8)
+    base = [rng.choice(VOCABULARY) for _ in range(80)]
+    hot = [base[:k] + [f"x{k}"] + base[k + 1 :] for k in range(80)]
+    rest = [[rng.choice(VOCABULARY) for _ in range(60)] for _ in range(160)]
+    rows = [(k, " ".join(w)) for k, w in enumerate([*hot, *rest])]
+    found = NearDuplicates(spark.createDataFrame(rows, "id long, text string"), "id", "text", 0.6, 3)
+    verified = []
+    check = found._verified
+    found._verified = lambda pairs: verified.append(check(pairs)) or verified[-1]
+    classes = {r.id: r.class_id for r in found.groups().collect()}
+    assert all(classes[k] == 0 for k in range(80)) and all(classes[k] == k for k in range(80, 240))
+    assert sum(v.count() for v in verified) < 80 * 48 // 4 < 80 * 79 // 2
