@@ -111,3 +111,42 @@ def sessions(df: DataFrame, key: str, time: str, tie: str, gap_seconds: int) ->
     marked = df.withColumn("_fresh", F.when(apart < gap_seconds * 1_000_000, 0).otherwise(1))
     numbered = marked.withColumn("session", F.sum("_fresh").over(order))
     return numbered.groupBy(key, "session").agg(F.count("*").alias("events"), F.min(time).alias("began"), F.max(time).alias("ended"))
+
+
+TIMEOUTS = "record string, started timestamp, outcome string"
+
+
+def record_timeouts(events: DataFrame, seconds: int, delay: str = "0 seconds") -> DataFrame:
+    """TIMEOUTS of (record, status, at): each record's end, or ``timeout`` once the watermark passes its limit.
+
+    ``status`` is ``started`` or anything else, which ends the record. A record that starts again begins anew.
+    """
+
+    def step(key: tuple, frames: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:  # noqa: ANN001
+        rows = []
+        if state.hasTimedOut:
+            rows.append((key[0], pd.Timestamp(state.get[0], unit="s"), "timeout"))
+            state.remove()
+        else:
+            started = state.get[0] if state.exists else None
+            for r in pd.concat(list(frames)).sort_values("at").itertuples():
+                if r.status == "started":
+                    started = int(r.at.timestamp())
+                elif started is not None:
+                    late = r.at.timestamp() > started + seconds
+                    rows.append((key[0], pd.Timestamp(started, unit="s"), "timeout" if late else r.status))
+                    started = None
+            if started is None:
+                if state.exists:
+                    state.remove()
+            else:
+                state.update((started,))
+                if (started + seconds) * 1000 > state.getCurrentWatermarkMs():
+                    state.setTimeoutTimestamp((started + seconds) * 1000)
+                else:
+                    rows.append((key[0], pd.Timestamp(started, unit="s"), "timeout"))
+                    state.remove()
+        yield pd.DataFrame(rows, columns=["record", "started", "outcome"])
+
+    watched = events.withWatermark("at", delay)
+    return watched.groupBy("record").applyInPandasWithState(step, TIMEOUTS, "started long", "append", "EventTimeTimeout")

@@ -332,3 +332,23 @@ def test_repair_samples(spark):
     df = spark.createDataFrame(rows, f"pos long, repair_feedback {kind}, wrapper_repair_feedback {kind}")
     assert {tuple(r) for r in estimates.repair_samples(df).collect()} == {(1, 2, "<a/>", "bad"), (2, 1, "c", "d")}
     assert estimates.repair_samples(df.select("pos")).count() == 0
+
+
+def test_extraction(spark):
+    from recordmill.operators import extraction
+
+    doc = "<tool id='a' name=\"A b\" version='1'><requirements><requirement version='2'>bwa</requirement></requirements><command>bwa mem $x | samtools sort</command><inputs><param name='x' format='fasta'/></inputs><help>h</help></tool>"
+    df = spark.createDataFrame([(1, doc), (2, "<broken"), (3, None)], "k int, x string")
+    got = {r.id: r for r in extraction.records(df, "k", "x").collect()}
+    assert (got[1].tool_id, got[1].tool_name, got[1].version, got[1].help, got[1].programs, got[1].packages, got[1].datatypes, got[1].inputs) == ("a", "A b", "1", "h", ["bwa", "samtools"], ["bwa"], ["fasta"], 1)
+    assert not got[2].well_formed and got[2].packages == [] and got[3].score == 0.0 and got[3].tool_id == ""
+    files = spark.createDataFrame([("t/a.py", "t", "import os\nos.system(x)\n" + "é" * 50), ("t/test-data/b.txt", "t", "x"), ("t/m_macros.xml", "t", "<macros/>"), ("t/n.R", "t", None)], "path string, folder string, content string")
+    side = {r.path: r for r in extraction.side_files(files, 40).collect()}
+    assert side["t/a.py"].calls == ["os.system"] and side["t/a.py"].kept_bytes <= 40 and side["t/a.py"].kind == "script_template"
+    assert side["t/test-data/b.txt"].skip == "test_data" and side["t/m_macros.xml"].role == "macros" and side["t/n.R"].skip == "missing"
+    assert [one(spark, extraction.form(F.lit(f))) for f in (" XML", "udt", "yml")] == ["xml", "yaml", "yaml"]
+    with pytest.raises(Exception, match="unknown artifact form"):
+        one(spark, extraction.form(F.lit("pdf")))
+    rows = [(WRAPPER, True, True), ("<tool>", False, False), ("<a></tool>", False, False), ("<x></tool></x>", True, False)]
+    got = values(spark, rows, "x string, ok boolean, root boolean", extraction.failure_of(markup.diagnostics("x"), F.col("ok"), F.col("root"), F.lit(0)))
+    assert [(g[0].error, g[0].cut) for g in got] == [(None, False), ("the document is cut off", True), ("the document can't be parsed", False), ("the document is no tool", False)]

@@ -177,3 +177,19 @@ def test_yaml_and_terms(spark, tmp_path):
     (tmp_path / "u.yml").write_text("class: UserTool\nid: a")
     (tmp_path / "v.yaml").write_text("class: Other")
     assert [r.path.rsplit("/", 1)[-1] for r in trees.user_tools(spark, str(tmp_path)).collect()] == ["u.yml"]
+
+
+def test_record_timeouts(spark, tmp_path):
+    t = lambda s: datetime.datetime(2024, 1, 1, 0, 0, s)
+    schema = "record string, status string, at timestamp"
+    batches = [[("a", "started", t(0)), ("b", "started", t(1))], [("a", "done", t(5)), ("c", "started", t(6))], [("d", "started", t(59))], [("d", "done", t(59))]]
+    for k, rows in enumerate(batches):
+        spark.createDataFrame(rows, schema).coalesce(1).write.parquet(str(tmp_path / f"in/{k}"))
+    files = sorted((tmp_path / "in").glob("*/*.parquet"), key=lambda p: p.parent.name)
+    for k, p in enumerate(files):
+        p.rename(tmp_path / "in" / f"{k}.parquet")
+        import os
+
+        os.utime(tmp_path / "in" / f"{k}.parquet", (1_700_000_000 + k, 1_700_000_000 + k))
+    out = status.run_to_end(status.record_timeouts(status.read_files(spark, str(tmp_path / "in"), 1), 10), "append", "timeouts")
+    assert {(r.record, r.outcome) for r in out.collect()} == {("a", "done"), ("b", "timeout"), ("c", "timeout"), ("d", "done")}
