@@ -9,7 +9,7 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from .keys import distinct_strings
-from .text import Text, col, filled, lines, single_line, stripped
+from .text import Text, col, filled, let, lines, single_line, stripped
 
 CALL_LIMIT = 256
 _IMPORT = re.compile(r"(?m)^\s*(?:import\s+([\w.]+)(?:\s+as\s+(\w+))?|from\s+([\w.]+)\s+import\s+(.+))$")
@@ -71,13 +71,18 @@ def parameter_docs(x: Text) -> Column:
 
 def usage_snippets(x: Text, before: int = 3, after: int = 7, most: int = 8) -> Column:
     """(line, text) around the lines that show usage, distinct by their words, the first ``most``."""
-    all_lines = lines(x)
-    numbered = F.transform(all_lines, lambda v, k: F.struct((k + 1).alias("line"), v.alias("v")))
-    hits = F.filter(numbered, lambda n: F.lower(n["v"]).rlike(r"usage:|^\s*usage\s|^\s*\\usage"))
-    blocks = F.transform(hits, lambda n: F.struct(n["line"].alias("line"), stripped(F.array_join(F.slice(all_lines, F.greatest(F.lit(1), n["line"] - before), F.least(n["line"] - 1, F.lit(before)) + after + 1), "\n")).alias("text")))
-    keyed = F.transform(blocks, lambda b: F.lower(single_line(b["text"])))
-    fresh = F.filter(F.transform(blocks, lambda b, k: F.when(F.array_position(keyed, F.get(keyed, k)) == k + 1, F.struct(b["line"].alias("line"), F.substring(b["text"], 1, 1200).alias("text")))), lambda b: b.isNotNull())
-    return F.slice(fresh, 1, most)
+
+    def blocks(all_lines: Column) -> Column:
+        numbered = F.transform(all_lines, lambda v, k: F.struct((k + 1).alias("line"), v.alias("v")))
+        hits = F.filter(numbered, lambda n: F.lower(n["v"]).rlike(r"usage:|^\s*usage\s|^\s*\\usage"))
+        return F.transform(hits, lambda n: F.struct(n["line"].alias("line"), stripped(F.array_join(F.slice(all_lines, F.greatest(F.lit(1), n["line"] - before), F.least(n["line"] - 1, F.lit(before)) + after + 1), "\n")).alias("text")))
+
+    def fresh(keyed: Column) -> Column:
+        firsts = F.transform(keyed, lambda b, k: F.when(F.array_position(F.transform(keyed, lambda o: o["key"]), b["key"]) == k + 1, F.struct(b["line"].alias("line"), F.substring(b["text"], 1, 1200).alias("text"))))
+        return F.filter(firsts, lambda b: b.isNotNull())
+
+    found = let(lines(x), blocks)
+    return F.slice(let(F.transform(found, lambda b: F.struct(b["line"].alias("line"), b["text"].alias("text"), F.lower(single_line(b["text"])).alias("key"))), fresh), 1, most)
 
 
 # Words in lists of sub-commands that aren't tools.
@@ -88,8 +93,8 @@ def usage_subcommands(x: Text) -> Column:
     """Names in the braces of usage lines, without noise, the first spelling of each."""
     inside = F.regexp_extract_all(filled(x), F.lit(r"(?i)usage:\s*\S+[^\n{]*\{([^}]*)\}"), F.lit(1))
     names = distinct_strings(F.flatten(F.transform(inside, lambda v: F.split(v, ","))))
-    low = F.transform(names, lambda n: F.lower(n))
-    return F.filter(names, lambda n, k: ~F.lower(n).isin(*NOISE_COMMANDS) & (F.array_position(low, F.lower(n)) == k + 1))
+    first = lambda ns: F.filter(ns, lambda n, k: ~F.lower(n).isin(*NOISE_COMMANDS) & (F.array_position(F.transform(ns, lambda o: F.lower(o)), F.lower(n)) == k + 1))
+    return let(names, first)
 
 
 def section_subcommands(text: str | None, most_lines: int = 40) -> list[str]:

@@ -21,10 +21,11 @@ def collapsed(df: DataFrame, id_col: str, text_col: str, copies: int = 2) -> Dat
 
     Counted inside each text, without an exchange of lines: a text's distinct lines are few.
     """
-    trimmed = F.transform(text.lines(text_col), lambda x: text.stripped(x))
-    once = F.array_distinct(F.filter(trimmed, lambda x: x != ""))
-    over = F.aggregate(F.transform(once, lambda u: F.greatest(F.lit(0), F.size(F.filter(trimmed, lambda x: x == u)) - copies)), F.lit(0), lambda a, b: a + b)
-    return df.select(id_col, F.size(trimmed).cast("long").alias("n"), over.cast("long").alias("omitted")).select(id_col, (F.col("n") - F.col("omitted")).alias("kept"), "omitted")
+    trimmed = F.array_sort(F.transform(text.lines(text_col), lambda x: text.stripped(x)))
+    # In sorted order a line too many equals the one so many places before.
+    again = lambda s: F.zip_with(s, F.slice(s, copies + 1, F.size(s)), lambda a, b: (a == b) & (a != ""))
+    over = text.let(trimmed, lambda s: F.size(F.filter(again(s), lambda x: x)))
+    return df.select(id_col, F.size(text.lines(text_col)).cast("long").alias("n"), over.cast("long").alias("omitted")).select(id_col, (F.col("n") - F.col("omitted")).alias("kept"), "omitted")
 
 
 def repeated_lines(df: DataFrame, id_col: str, text_col: str, min_chars: int, min_times: int) -> DataFrame:
