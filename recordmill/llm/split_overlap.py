@@ -1,16 +1,16 @@
 """Same or near-same records across splits: full-text indexes of evaluation shards, searched with training text.
 
 Evaluation texts are spread over shards of about equal size and each shard is indexed. A training text is
-streamed only through the shards that hold an evaluation text with a word sequence in common, as told by a
-sample of each text's six-word sequences: a sequence is sampled if its hash is under a rate set by the
-text's length, so two texts sample the same of what they share, and work stays in proportion to the corpus.
+streamed only through the shards that can hold a partner of it. Of a text with n distinct sequences of
+``shingle`` words, a partner holds need = ceil(threshold * n) or more, as likeness is never over the shared
+part of either text. So a text of which all evaluation texts together hold fewer than need is left out, and
+of any n - need + k of its sequences a partner's shard holds k or more. The rarest are taken, with k a quarter
+of need, so that sequences which very many texts hold route only what has little else. No pair over the
+threshold is lost to this, whatever the texts are; nothing is sampled.
+
 Backward search gives the maximal matches; their spans are merged and counted for each pair of texts; pairs
 with enough words in common are checked exactly.
 
-Sequences that very many evaluation texts hold route only those training texts that have little else: half
-of their sample or more. A pair over the threshold shares more than half of its sequences, so a text with
-less than half of such sequences meets its partner through the others.
-
 Cases: null texts and texts under ``min_words`` words are in no pair; copies of one word sequence are
 searched once and stand for each other; very long texts are taken whole; a record that is in both sides
 (it shouldn't be) is paired with others, never itself; repeated rows are one; no rows give no rows; other
@@ -23,37 +23,44 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import written
 from .fm_index import FMIndex
 from .words import WordHashes, content_keys, gram_hashes, hashed_words, slices
 
-SEED_WORDS, SEEDS = 6, 32
 #: Words that a match must have to count.
 MATCH_WORDS = 5
-#: Characters of a shard's evaluation texts, training texts that pass one task of a shard, and evaluation texts from which a sequence is common.
+#: Characters of a shard's evaluation texts, training texts that pass one task of a shard, and evaluation texts from which sequences count as equally common (it orders them, and drops none).
 SHARD_CHARS, TASK_TEXTS, COMMON = 2_000_000, 20_000, 100
 PAIRS = "train long, eval long, likeness double, matched_words long, longest_match long, spans long"
 
 
-def _sample(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, train, text) to (id, train, key, seeds, chars)."""
+def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(id, train, text) to (id, train, key, chars)."""
     hashes = WordHashes()
     for batch in batches:
         texts = batch.column(2).to_pylist()
         for lo, hi in slices(texts):
             part = batch.slice(lo, hi - lo)
-            flat, offsets = hashed_words(texts[lo:hi], hashes)
-            own, grams = gram_hashes(flat, offsets, SEED_WORDS)
-            n = np.bincount(own, minlength=part.num_rows)
-            rate = np.minimum(1.0, SEEDS / np.maximum(n, 1))
-            chosen = (grams >> np.uint64(11)).astype(np.float64) / (1 << 53) < rate[own]
-            own, grams = own[chosen], grams[chosen]
-            ends = np.searchsorted(own, np.arange(part.num_rows + 1)).astype(np.int32)
-            seeds = pa.ListArray.from_arrays(pa.array(ends), pa.array(grams.view(np.int64)))
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(content_keys(flat, offsets), pa.binary()), seeds, pa.array([len(t) for t in texts[lo:hi]], pa.int64())], names=["id", "train", "key", "seeds", "chars"])
+            keys = content_keys(*hashed_words(texts[lo:hi], hashes))
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(keys, pa.binary()), pa.array([len(t) for t in texts[lo:hi]], pa.int64())], names=["id", "train", "key", "chars"])
+
+
+def _grams(shingle: int):  # noqa: ANN202
+    """(id, text) to (doc, n, gram), a row for each of the n distinct sequences of a text."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes = WordHashes()
+        for batch in batches:
+            ids, texts = batch.column(0).to_numpy(), batch.column(1).to_pylist()
+            for lo, hi in slices(texts):
+                own, grams = gram_hashes(*hashed_words(texts[lo:hi], hashes), shingle)
+                n = np.bincount(own, minlength=hi - lo)
+                yield pa.RecordBatch.from_arrays([pa.array(ids[lo:hi][own]), pa.array(n[own], pa.int64()), pa.array(grams.view(np.int64))], names=["doc", "n", "gram"])
+
+    return run
 
 
 class Shard:
@@ -125,30 +132,30 @@ def _search(shingle: int, threshold: float):  # noqa: ANN202
 
 def near_pairs(texts: DataFrame, threshold: float = 0.8, shingle: int = 5) -> DataFrame:
     """PAIRS of the rows (id, train, text) that are alike, one in training, the other not."""
-    sampled = written(texts.select("id", "train", "text").where("id IS NOT NULL AND train IS NOT NULL AND text IS NOT NULL").mapInArrow(_sample, "id long, train boolean, key binary, seeds array<long>, chars long"), "samples")
+    usable = texts.select("id", "train", "text").where("id IS NOT NULL AND train IS NOT NULL AND text IS NOT NULL")
+    keyed = written(usable.mapInArrow(_keys, "id long, train boolean, key binary, chars long"), "keys")
     # One text stands for its copies on each side; copies across the sides are pairs without a search.
-    reps = sampled.groupBy("key", "train").agg(F.min("id").alias("rep"))
-    members = written(sampled.select("id", "train", "key").distinct().join(reps, ["key", "train"]).select("id", "train", "rep", "key"), "side-members")
-    unique = sampled.join(reps.select(F.col("rep").alias("id"), "train"), ["id", "train"], "left_semi").dropDuplicates(["id", "train"])
-    seeds = written(unique.select("id", "train", F.size("seeds").alias("n"), F.explode("seeds").alias("seed")), "seeds")
-    held = seeds.where("NOT train").select("seed", F.col("id").alias("eval"))
+    reps = keyed.groupBy("key", "train").agg(F.min("id").alias("rep"))
+    members = written(keyed.select("id", "train", "key").distinct().join(reps, ["key", "train"]).select("id", "train", "rep", "key"), "side-members")
+    unique = written(keyed.join(reps.select(F.col("rep").alias("id"), "train"), ["id", "train"], "left_semi").dropDuplicates(["id", "train"]).select("id", "train", "chars"), "unique")
+    rows = usable.dropDuplicates(["id", "train"]).join(unique, ["id", "train"], "left_semi")
+    grams = {train: rows.where(F.col("train") == train).select("id", "text").mapInArrow(_grams(shingle), "doc long, n long, gram long") for train in (True, False)}
     held_chars = unique.where("NOT train").agg(F.sum("chars").alias("n")).first()["n"] or 0
     shards = max(1, -(-held_chars // SHARD_CHARS))
     shard_of = F.pmod(F.xxhash64("eval"), F.lit(shards)).cast("long")
-    places = held.groupBy("seed", shard_of.alias("shard")).agg(F.count("*").alias("texts"))
-    spread = places.groupBy("seed").agg((F.sum("texts") > COMMON).alias("common"))
-    met = written(seeds.where("train").join(spread, "seed").select(F.col("id").alias("doc"), "n", "seed", "common"), "met")
-    # Texts that are mostly made of common sequences are searched by those too.
-    mostly = met.groupBy("doc").agg(F.count_if("common").alias("held"), F.first("n").alias("n")).where("held * 2 >= n").select("doc")
-    routed = met.where("NOT common").select("doc", "n", "seed").union(met.where("common").join(mostly, "doc", "left_semi").select("doc", "n", "seed"))
-    # One sequence in common is chance more often than not; a pair over the threshold has about 12 or more.
-    shared = routed.join(places, "seed").groupBy("doc", "shard").agg(F.count("*").alias("shared"), F.first("n").alias("n"))
-    routes = written(shared.where("shared >= least(2, ceil(n / 8))").select("doc", "shard"), "routes")
+    places = written(grams[False].select("gram", F.col("doc").alias("eval")).groupBy("gram", shard_of.alias("shard")).agg(F.count("*").alias("texts")), "places")
+    met = grams[True].join(places.groupBy("gram").agg(F.least(F.sum("texts"), F.lit(COMMON)).alias("texts")), "gram")
+    # The rounding is taken off, so that a text of 5 sequences needs 3 of them at 0.6 and not 4.
+    need = F.ceil(F.col("n") * threshold - 1e-6)
+    counted = met.withColumns({"place": F.row_number().over(Window.partitionBy("doc").orderBy("texts", "gram")), "present": F.count("*").over(Window.partitionBy("doc")), "need": need, "asked": F.ceil(need / 4)})
+    routed = counted.where("present >= need AND place <= present - need + asked").select("doc", "asked", "gram")
+    shared = routed.join(places.select("gram", "shard"), "gram").groupBy("doc", "shard").agg(F.count("*").alias("shared"), F.first("asked").alias("asked"))
+    routes = written(shared.where("shared >= asked").select("doc", "shard"), "routes")
     loads = routes.groupBy("shard").agg((F.count("*") / TASK_TEXTS).cast("int").alias("more"))
     salt = F.pmod(F.xxhash64("doc"), F.col("more") + 1)
     train_rows = routes.join(loads, "shard").select("doc", F.col("shard") * 100_000 + salt, F.lit(True)).toDF("id", "task", "train")
     eval_rows = unique.where("NOT train").select(F.col("id").alias("eval")).withColumn("shard", shard_of).join(loads, "shard").select("eval", F.explode(F.transform(F.sequence(F.lit(0), F.col("more")), lambda s: F.col("shard") * 100_000 + s)), F.lit(False)).toDF("id", "task", "train")
-    tasks = train_rows.union(eval_rows).join(texts.select("id", "train", "text").dropDuplicates(["id", "train"]), ["id", "train"])
+    tasks = train_rows.union(eval_rows).join(usable.dropDuplicates(["id", "train"]), ["id", "train"])
     parts = max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2 * shards)
     ordered = tasks.select("task", "train", "id", "text").repartition(parts, "task").sortWithinPartitions("task", "train", "id")
     found = written(ordered.mapInArrow(_search(shingle, threshold), PAIRS), "overlaps")

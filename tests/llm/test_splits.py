@@ -122,6 +122,24 @@ def test_common_text_is_not_lost(spark, monkeypatch):
     assert got == {(a, b) for a in range(0, 24, 2) for b in range(1, 24, 2)}
 
 
+def test_pair_of_common_sequences_is_not_lost(spark, monkeypatch):
+    """A pair meets whatever share of the training text's sequences very many evaluation texts hold."""
+    from recordmill.llm import split_overlap
+
+    monkeypatch.setattr(split_overlap, "COMMON", 2)
+    part = lambda c, n: " ".join(f"{c}{k}" for k in range(n))
+    want, rows = set(), [(1000 + k, False, part("w", 120) + " " + part(f"f{k}x", 300)) for k in range(6)]
+    for own in range(50, 130, 2):
+        # The words of its own come in runs of five, so its only sequences of six words in common are the common ones.
+        runs = [part(f"r{own}y{k}z", 5) for k in range(own // 5)]
+        text = [" ".join(f"{r} {s}{own}q{k}" for k, r in enumerate(runs)) + " " + part("w", 120) for s in "ab"]
+        rows += [(own, True, text[0]), (own + 500, False, text[1])]
+        if likeness(*text, 3) >= 0.6:
+            want.add((own, own + 500))
+    got = {(r.train, r.eval) for r in near_pairs(spark.createDataFrame(rows, "id long, train boolean, text string"), 0.6, 3).collect()}
+    assert len(want) > 20 and got == want
+
+
 def test_odd_rows_across(spark):
     df = spark.createDataFrame([(1, True, None), (2, False, ""), (3, True, "a b"), (4, False, "a b"), (None, True, "a b"), (5, None, "a b"), (3, True, "a b")], "id long, train boolean, text string")
     assert near_pairs(df, 0.6, 3).count() <= 1
