@@ -6,11 +6,15 @@ where a garbled text was lower- or upper-cased. States are expanded cheapest fir
 visited once, and the cost is how implausible the characters and their neighbours are. Readings of UTF-8
 leave marks that a single word shows, so single
 sequences are decoded; readings of one single-byte or Asian encoding as another are undone for whole
-passages.
+passages, and for single words that hold a sign which no right word has.
+
+A garbled a-grave or no-break space whose second character became a blank is one letter that stands alone;
+it is taken back by the blanks after it.
 
 Cases: null, empty and ASCII texts without character references are not affected; texts that only quote
 garbled characters aren't either; where characters were lost (replacement characters) the text is
-affected and only what can be restored is; very long texts are taken whole, piece by piece; repeated
+affected and only what can be restored is; an odd sign in a word that no reading explains is affected and
+stays; a capital between small letters is affected only if a reading explains it, as names in code have it; very long texts are taken whole, piece by piece; repeated
 rows are found alike; no rows give no rows; other columns aren't read.
 """
 
@@ -299,6 +303,12 @@ def search(text: str, steps, most: int) -> tuple[str, float]:  # noqa: ANN001
 PASSAGE_GAIN, CHARACTER_GAIN, LATIN_GAIN = 2.0, 0.15, 1.0
 LINES = re.compile(r"[^\n]+")
 ODD = re.compile("[^\x00-\x7f]{2}|[^\x00-\x7f]&|&#|;&")
+#: A garbled letter whose continuation became a blank, and signs that a right word of Latin letters doesn't have.
+BEFORE_BLANK = re.compile(r"(?:(?<![A-ZÀ-Þ])([ÃÂ])(?=\s|$)|(?<=[a-zß-ÿ])([ÃÂ])(?![^\W\d_]))( (?=\s))?")
+ODD_INSIDE = "[¡-§«¬¯°´¶¸»-¿‚ƒ„†‡ˆ˜‰‹›€Θ√∂∑∏∫Ω≈∆◊]"
+LETTER = "[a-zß-öø-ÿ]"
+ODD_LEFT = re.compile(f"{LETTER}{{2}}[À-ÖØ-ÞŠŽ](?![^\\W\\d_])|{LETTER}(?:{ODD_INSIDE}{LETTER}|[‚ƒˆ˜])")
+ODD_SIGN = re.compile(rf"{LETTER}[À-ÖØ-ÞŠŽŸŒ]|{LETTER}{ODD_INSIDE}{LETTER}|{LETTER}[‚ƒˆ˜]|[a-z][\u0400-\u04ff]|[\u0400-\u04ff][a-z]")
 QUOTED = re.compile("((?<![^\\s(,;:])[“\"'`‘«(\\[„][^\x00-\x7f\\s]{1,8}[”\"'`’»)\\]“](?![^\\s),.;:!?]))")
 SENTENCE = re.compile(r"((?<=[.!?])\s+|(?<=。))")
 FOREIGN = re.compile("[^\x00-\x7f]")
@@ -318,7 +328,24 @@ class Restorer:
         better, gain = search(sentence, _confused_steps, 3)
         return better if gain >= (CHARACTER_GAIN if NOT_LATIN.search(better) else LATIN_GAIN) * foreign else sentence
 
+    def _word(self, m: re.Match) -> str:
+        """A word with an odd sign, read wrongly alone; its foreign characters have to become letters."""
+        word = m.group()
+        if word.isascii() or not ODD_SIGN.search(word):
+            return word
+        read = [w for w, undid, _ in _confused_steps(word) if undid and all(map(str.isalpha, FOREIGN.findall(w))) and plausible(w)]
+        best = min(read, key=cost, default=word)
+        return best if cost(word) - cost(best) - STEP >= PASSAGE_GAIN else word
+
+    def _alone(self, passage: str) -> str:
+        """What single characters show: a letter before a lost no-break space, and odd signs in words."""
+        passage = BEFORE_BLANK.sub(lambda m: "à" if "Ã" in m.group() else " " if m.group(3) else "", passage)
+        return re.sub(r"\S+", self._word, passage) if ODD_SIGN.search(passage) else passage
+
     def _passage(self, passage: str) -> str:
+        return self._alone(self._searched(passage))
+
+    def _searched(self, passage: str) -> str:
         if not ODD.search(passage):
             return passage
         better, gain = search(passage, _utf8_steps, 8)
@@ -343,6 +370,7 @@ class Restorer:
             return False, text
         restored = LINES.sub(lambda m: self._line(m.group()), text)
         affected = restored != text or bool(LOST_CHARACTER.search(text)) or bool(STRAY_CONTROL.search(text))
+        affected = affected or any(ODD_LEFT.search(part) for part in QUOTED.split(restored)[::2])
         return affected, restored
 
 

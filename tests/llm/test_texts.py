@@ -198,6 +198,19 @@ def test_right_and_quoted_characters_are_left(spark):
     assert garbled.restore(df.where("false"), "doc_id", "text").count() == 0
 
 
+def test_single_odd_characters_are_found():
+    r = garbled.Restorer()
+    assert r("clusters Ã la smoothed") == (True, "clusters à la smoothed")
+    assert r("plasmids Ã  la nested") == (True, "plasmids à la nested")
+    assert r("over 10Â cm") == (True, "over 10 cm")
+    assert r("the gÈnome is read") == (True, "the génome is read")
+    assert r("one cafÈ each") == (True, "one café each")
+    assert r("one caf‚ each") == (True, "one café each")
+    assert r("reads‡of them")[0] and r("cellÐ of")[0]
+    for text in ("MANHÃ E LÃ ", "IRMÃ", "monÉtat", "nombreÉlèves", "col·legi", "the letter “Ã” alone", "les « mots »", "5 µm", "l’été, «là»", "R² and m²", "a→b", "x–y"):
+        assert r(text) == (False, text), text
+
+
 BAD = ["HTTP Error 404: Not Found", "<html><head><title>503 Service Unavailable</title></head></html>", "Please enable JavaScript to view this page.", "Our site cannot be shown without scripting.", "Lorem ipsum dolor sit amet nulla vitae metus", "Help text will be added later.", "Sorts reads.\n\n{{ short_desc }}\n\n--a  b", "Author: <your author goes here>", "TODO: write param table", "Usage: tool\n\n@CITATION@", "[INSERT LONG HELP HERE]", "SEITE NICHT GEFUNDEN."]
 GOOD = ["Filters reads by length and quality before they are merged.", "Usage: tool <reads> <bed> [options]\n  --a INT  length [default: 3]", "Names in --x may hold ``{{gene}}``, which is replaced by the gene name at run time.", "Threads are taken from \\${SLOTS:-4} for sorting.", "Use --x '%(chrom)s_%(start)s' to choose names.", "TODO entries in the sample sheet are skipped.", "usage: tool [-h] [--x N] bed [bed ...]\n\nResponses with status 503 (Service Unavailable) are retried 5 times before the run fails.", "A file such as <name>_<part>.bed is accepted."]
 
