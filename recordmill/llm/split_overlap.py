@@ -8,8 +8,9 @@ of any n - need + k of its sequences a partner's shard holds k or more. The rare
 of need, so that sequences which very many texts hold route only what has little else. No pair over the
 threshold is lost to this, whatever the texts are; nothing is sampled.
 
-Backward search gives the maximal matches; their spans are merged and counted for each pair of texts; pairs
-with enough words in common are checked exactly.
+In a shard the same bound gives the pairs that can be over the threshold: those with one of a text's n - need + 1
+rarest sequences in common. All of them are checked exactly. Backward search gives the maximal matches of the
+pairs that are left; their spans are merged and counted, and tell nothing about which pairs are found.
 
 Cases: null texts and texts under ``min_words`` words are in no pair; copies of one word sequence are
 searched once and stand for each other; very long texts are taken whole; a record that is in both sides
@@ -20,6 +21,7 @@ columns aren't read.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
@@ -27,10 +29,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import written
-from .fm_index import FMIndex
+from .fm_index import FMIndex, _blocks
 from .words import WordHashes, content_keys, gram_hashes, hashed_words, slices
 
-#: Words that a match must have to count.
+#: Words that a match must have to be counted as a span.
 MATCH_WORDS = 5
 #: Characters of a shard's evaluation texts, training texts that pass one task of a shard, and evaluation texts from which sequences count as equally common (it orders them, and drops none).
 SHARD_CHARS, TASK_TEXTS, COMMON = 2_000_000, 20_000, 100
@@ -63,37 +65,75 @@ def _grams(shingle: int):  # noqa: ANN202
     return run
 
 
+def _need(n, threshold: float):  # noqa: ANN001, ANN202
+    """Sequences of n that a partner holds at least; the rounding is taken off, so that of 5 at 0.6 it is 3 and not 4."""
+    return np.ceil(n * threshold - 1e-6).astype(np.int64)
+
+
 class Shard:
     """One indexed shard and the exact sets of its texts."""
 
     def __init__(self, ids: list[int], texts: list[str], hashes: WordHashes, shingle: int, threshold: float) -> None:
         self.ids, self.shingle, self.threshold, self.hashes = np.array(ids, np.int64), shingle, threshold, hashes
         flat, offsets = hashed_words(texts, hashes)
-        self.index = FMIndex(flat, offsets)
+        self.words, self.offsets = flat, offsets
         own, self.grams = gram_hashes(flat, offsets, shingle)
         self.ends = np.searchsorted(own, np.arange(len(ids) + 1))
-
-    def pairs(self, ids: np.ndarray, texts: list[str]) -> pa.RecordBatch:
-        flat, offsets = hashed_words(texts, self.hashes)
-        train, held, at, _, run = self.index.matches(flat, offsets, MATCH_WORDS)
-        own, grams = gram_hashes(flat, offsets, self.shingle)
-        ends = np.searchsorted(own, np.arange(len(texts) + 1))
-        rows = []
+        order = np.argsort(self.grams, kind="stable")
+        self.holders = own[order]
+        self.held, self.first, self.count = np.unique(self.grams[order], return_index=True, return_counts=True)
+
+    @cached_property
+    def index(self) -> FMIndex:
+        return FMIndex(self.words, self.offsets)
+
+    def candidates(self, own: np.ndarray, grams: np.ndarray, ends: np.ndarray) -> np.ndarray:
+        """Distinct (query text, indexed text) of all pairs that can be over the threshold."""
+        n = np.diff(ends)
+        if not len(self.held) or not len(grams):
+            return np.empty((0, 2), np.int64)
+        at = np.minimum(np.searchsorted(self.held, grams), len(self.held) - 1)
+        texts = np.where(self.held[at] == grams, self.count[at], 0)
+        order = np.lexsort((texts, own))
+        rare = np.arange(len(own)) - ends[own] <= (n - _need(n, self.threshold))[own]
+        chosen = order[rare & (texts[order] > 0)]
+        found = [np.empty(0, np.int64)]
+        for a in _blocks(texts[chosen], 1 << 22):
+            part, w = chosen[a], texts[chosen[a]]
+            places = np.repeat(self.first[at[part]], w) + np.arange(w.sum()) - np.repeat(np.cumsum(w) - w, w)
+            found.append(np.unique(np.repeat(own[part], w) * len(self.ids) + self.holders[places]))
+        return np.stack(np.divmod(np.unique(np.concatenate(found)), len(self.ids)), axis=1)
+
+    def spans(self, flat: np.ndarray, offsets: np.ndarray, texts: list[int]) -> dict[tuple[int, int], tuple[int, int, int]]:
+        """(query text, indexed text) to (words in matches, longest match, matches) of the numbered query texts."""
+        counts = np.diff(offsets)[texts]
+        words = np.concatenate([flat[offsets[t] : offsets[t + 1]] for t in texts])
+        train, held, at, _, run = self.index.matches(words, np.concatenate([[0], np.cumsum(counts)]), MATCH_WORDS)
+        out = {}
         bounds = np.flatnonzero(np.concatenate([[True], (train[1:] != train[:-1]) | (held[1:] != held[:-1])])) if len(train) else []
         for a, b in zip(bounds, [*bounds[1:], len(train)], strict=True):
-            t, e = int(train[a]), int(held[a])
             order = np.argsort(at[a:b], kind="stable")
             s, stop = at[a:b][order], (at[a:b] + run[a:b])[order]
             reach = np.maximum.accumulate(stop)
             covered = int(np.maximum(0, stop - np.maximum(s, np.concatenate([[0], reach[:-1]]))).sum())
-            # The words in shared sequences are more than a third of the text in any pair over the threshold.
-            if covered * 3 < self.threshold * (offsets[t + 1] - offsets[t]) or self.ids[e] == ids[t]:
-                continue
+            out[texts[int(train[a])], int(held[a])] = covered, int(run[a:b].max()), int(b - a)
+        return out
+
+    def pairs(self, ids: np.ndarray, texts: list[str]) -> pa.RecordBatch:
+        flat, offsets = hashed_words(texts, self.hashes)
+        own, grams = gram_hashes(flat, offsets, self.shingle)
+        ends = np.searchsorted(own, np.arange(len(texts) + 1))
+        alike = {}
+        for t, e in self.candidates(own, grams, ends).tolist():
             x, y = grams[ends[t] : ends[t + 1]], self.grams[self.ends[e] : self.ends[e + 1]]
+            if min(len(x), len(y)) < _need(max(len(x), len(y)), self.threshold) or self.ids[e] == ids[t]:
+                continue
             both = len(np.intersect1d(x, y, assume_unique=True))
-            likeness = both / (len(x) + len(y) - both) if len(x) + len(y) else 0.0
+            likeness = both / (len(x) + len(y) - both)
             if likeness >= self.threshold:
-                rows.append((int(ids[t]), int(self.ids[e]), likeness, covered, int(run[a:b].max()), b - a))
+                alike[t, e] = likeness
+        spans = self.spans(flat, offsets, sorted({t for t, _ in alike})) if alike else {}
+        rows = [(int(ids[t]), int(self.ids[e]), likeness, *spans.get((t, e), (0, 0, 0))) for (t, e), likeness in alike.items()]
         columns = list(zip(*rows, strict=True)) if rows else [()] * 6
         kinds = [pa.int64(), pa.int64(), pa.float64(), pa.int64(), pa.int64(), pa.int64()]
         return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[c.split()[0] for c in PAIRS.split(", ")])

@@ -140,6 +140,17 @@ def test_pair_of_common_sequences_is_not_lost(spark, monkeypatch):
     assert len(want) > 20 and got == want
 
 
+def test_repeated_filler_does_not_lose_a_pair(spark):
+    """Likeness counts distinct sequences: words repeated in one text only, and short matches, don't matter."""
+    body = " ".join(f"w{k}" for k in range(60))
+    short = [" ".join(f"{a}{b} {b}{a} x" for a in "abcdefgh" for b in "ijklm"), " ".join(f"{a}{b} {b}{a} x" for b in "ijklm" for a in "abcdefgh")]
+    rows = [(1, True, body + " 0 1" * 200), (2, False, body), (3, True, short[0]), (4, False, short[1])]
+    want = {(t, e) for t, side, a in rows if side for e, other, b in rows if not other and likeness(a, b, 3) >= 0.6}
+    got = near_pairs(spark.createDataFrame(rows, "id long, train boolean, text string"), 0.6, 3).collect()
+    assert (1, 2) in want and {(r.train, r.eval) for r in got} == want
+    assert [r.matched_words for r in got if r.train == 1] == [60]
+
+
 def test_odd_rows_across(spark):
     df = spark.createDataFrame([(1, True, None), (2, False, ""), (3, True, "a b"), (4, False, "a b"), (None, True, "a b"), (5, None, "a b"), (3, True, "a b")], "id long, train boolean, text string")
     assert near_pairs(df, 0.6, 3).count() <= 1
