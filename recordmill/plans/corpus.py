@@ -90,10 +90,16 @@ def failure_packages(s, d):  # noqa: ANN001, ANN201
 
 
 def failure_samples(s, d):  # noqa: ANN001, ANN201
-    """The first ten issues of each category."""
+    """The first ten source issues of each category; ``failure_samples_all`` has those of all kinds."""
     return relational.first_n(_facts(s, d).where("kind = 'source'").select("category", "pos", "seq"), ["category"], [F.col("pos"), F.col("seq")], 10).select("category", "pos", "seq", "place")
 
 
+def failure_samples_all(s, d):  # noqa: ANN001, ANN201
+    """The first ten issues of each category, of container events, sources and coverage alike."""
+    f = _facts(s, d).select("category", "pos", "kind", "seq")
+    return relational.first_n(f, ["category"], [F.col("pos"), F.col("kind"), F.col("seq")], 10).select("category", "pos", "kind", "seq", "place")
+
+
 def failure_wrappers(s, d):  # noqa: ANN001, ANN201
     w = corpus.wrapper_rollup(_facts(s, d), _records(s, d))
     return w.select("wrapper", "package_id", "tool_id", F.array_join("categories", ",").alias("categories"), F.array_join("statuses", ",").alias("statuses"), "severity")
@@ -288,7 +294,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         event_status_frequency, event_counters, help_coverage, record_event_flags, source_status_counts, source_category_counts, source_coverage, event_categories, failure_facts, failure_inventory,
-        failure_packages, failure_samples, failure_wrappers, retry_manifest, index_packages, index_wrappers, index_suites, best_candidates, image_priorities, image_parts, version_issues,
+        failure_packages, failure_samples, failure_samples_all, failure_wrappers, retry_manifest, index_packages, index_wrappers, index_suites, best_candidates, image_priorities, image_parts, version_issues,
         mapping_versions, nearest_versions, requirement_union, datatype_sets, datatype_report, fidelity, resume_pending, retry_wanted, run_comparison, package_status, unique_commands, late_events, split_summary,
     )
 }
@@ -326,6 +332,7 @@ ORACLES = {
     "failure_packages": f"""WITH {_FACTS}, c AS (SELECT coalesce(package_id, '') AS package_id, count(*) AS n FROM facts JOIN tool_records USING (pos) WHERE coalesce(package_id, '') <> '' GROUP BY 1 ORDER BY n DESC, package_id LIMIT 50)
         SELECT package_id, n, row_number() OVER (ORDER BY n DESC, package_id)::INTEGER AS place FROM c""",
     "failure_samples": f"WITH {_FACTS} SELECT category, pos, seq, place FROM (SELECT category, pos, seq, row_number() OVER (PARTITION BY category ORDER BY pos, seq)::INTEGER AS place FROM facts WHERE kind = 'source') WHERE place <= 10",
+    "failure_samples_all": f"WITH {_FACTS} SELECT category, pos, kind, seq, place FROM (SELECT category, pos, kind, seq, row_number() OVER (PARTITION BY category ORDER BY pos, kind, seq)::INTEGER AS place FROM facts) WHERE place <= 10",
     "failure_wrappers": f"WITH {_FACTS} SELECT wrapper, package_id, tool_id, array_to_string(categories, ',') AS categories, array_to_string(statuses, ',') AS statuses, severity FROM {_ROLLUP.format('facts')}",
     "retry_manifest": f"""WITH {_FACTS}, again AS (SELECT * FROM facts WHERE category IN ({', '.join(repr(c) for c in corpus.RETRY_CATEGORIES)}) OR (severity = 'hard' AND category NOT IN ({', '.join(repr(c) for c in corpus.HARD_BUT_FINAL_CATEGORIES)})))
         SELECT severity, count(*) AS wrappers, sum(len(categories))::BIGINT AS categories FROM {_ROLLUP.format('again')} GROUP BY severity""",
