@@ -6,7 +6,7 @@ where a garbled text was lower- or upper-cased. States are expanded cheapest fir
 visited once, and the cost is how implausible the characters and their neighbours are. Readings of UTF-8
 leave marks that a single word shows, so single
 sequences are decoded; readings of one single-byte or Asian encoding as another are undone for whole
-passages, and for single words that hold a sign which no right word has.
+sentences of six foreign characters or more, for runs of three foreign characters or more alone, and for single words that hold a sign which no right word has.
 
 A garbled a-grave or no-break space whose second character became a blank is one letter that stands alone;
 it is taken back by the blanks after it.
@@ -20,6 +20,7 @@ rows are found alike; no rows give no rows; other columns aren't read.
 
 from __future__ import annotations
 
+import codecs
 import heapq
 import html
 import re
@@ -177,6 +178,9 @@ CONFUSED = (
 CONFUSIONS: dict[str, list[str]] = {}
 for _read, _written in CONFUSED:
     CONFUSIONS.setdefault(_read, []).append(_written)
+#: The same for texts that were read in an Asian encoding.
+READ_AS_ASIAN = (("cp932", ("utf-8", "euc_jp")), ("gbk", ("utf-8", "cp932", "euc_jp")), ("euc_jp", ("utf-8", "cp932")))
+ASIAN = re.compile("[\u3000-\u30ff\u3400-\u9fff\uff00-\uff9f]{2}")
 STRAY_CONTROL = re.compile("[\x80-\x84\x86-\x9f]")
 TABLES = {name: _sloppy(name) for name in {*READ_AS, *(r for r, _ in CONFUSED)}}
 LEADS = re.compile("[à-þ](?=[^\x00-\x7fa-zà-þ]|[š-žœÿƒ])")
@@ -197,6 +201,28 @@ def _bytes(text: str, encoding: str) -> bytes | None:
         return None
 
 
+def _kept_lost(error: UnicodeError) -> tuple[bytes, int]:
+    """Lost characters as a byte that no encoding has, so that they stay lost."""
+    if isinstance(error, UnicodeEncodeError) and set(error.object[error.start : error.end]) == {"�"}:
+        return b"\xff" * (error.end - error.start), error.end
+    raise error
+
+
+codecs.register_error("recordmill.lost", _kept_lost)
+
+
+def _asian_steps(text: str) -> Iterator[tuple[str, bool, float]]:
+    for read, written_in in READ_AS_ASIAN:
+        try:
+            raw = text.encode(read, "recordmill.lost")
+        except UnicodeEncodeError:
+            continue
+        for written in written_in:
+            better = raw.decode(written, "replace")
+            if better.count("�") * (10 if written != "utf-8" else 3) <= len(FOREIGN.findall(better)) and better != text:
+                yield better, True, STEP
+
+
 def _utf8_pattern(encoding: str) -> re.Pattern:
     """The UTF-8 sequences as they look when read in an encoding."""
     shown: dict[int, str] = {b: c for c, b in TABLES[encoding].items()}
@@ -255,6 +281,8 @@ def _confused_steps(text: str) -> Iterator[tuple[str, bool, float]]:
             lenient = raw.decode(written, "replace")
             if lenient.count("�") * 10 <= len(lenient):
                 yield lenient, True, STEP
+    if ASIAN.search(text):
+        yield from _asian_steps(text)
     if "&" in text and (plain := html.unescape(text)) != text:
         yield plain, False, STEP
 
@@ -301,6 +329,12 @@ def search(text: str, steps, most: int) -> tuple[str, float]:  # noqa: ANN001
 #: How much less a passage, or each foreign character of a sentence, must cost for a reading to count as undone;
 #: of a sentence in Latin letters more, as accented letters and quotation marks cost about the same.
 PASSAGE_GAIN, CHARACTER_GAIN, LATIN_GAIN = 2.0, 0.15, 1.0
+#: The same for one word of foreign characters, and what it has to become; two characters look better by chance.
+FEW_GAIN = 3.0
+RUN = re.compile("[^\x00-\x7f]{3,}")
+RIGHT_RUN = re.compile("[А-яЁё][а-яё]+|[А-ЯЁ]+|[^\\w]+")
+FEW_LETTERS = re.compile("[А-яЁё][а-яё]{2,}|[\u3040-\u30ff\u3400-\u9fff々、。]*[\u3040-\u30ff][\u3040-\u30ff\u3400-\u9fff々、。]*|[\u3400-\u9fff]{2,}")
+HAN_OR_HALF = re.compile("[\u3400-\u9fff\uff61-\uff9f]")
 LINES = re.compile(r"[^\n]+")
 ODD = re.compile("[^\x00-\x7f]{2}|[^\x00-\x7f]&|&#|;&")
 #: A garbled letter whose continuation became a blank, and signs that a right word of Latin letters doesn't have.
@@ -323,10 +357,20 @@ class Restorer:
     def _sentence(self, sentence: str) -> str:
         """A sentence in which one encoding was read as another that isn't UTF-8."""
         foreign = len(FOREIGN.findall(sentence))
-        if foreign < 6 or cost(sentence) < (0.7 if CYRILLIC.search(sentence) else 1.5) * foreign:
-            return sentence
-        better, gain = search(sentence, _confused_steps, 3)
-        return better if gain >= (CHARACTER_GAIN if NOT_LATIN.search(better) else LATIN_GAIN) * foreign else sentence
+        if foreign >= 6 and (cost(sentence) >= (0.7 if CYRILLIC.search(sentence) else 1.5) * foreign or HAN_OR_HALF.search(sentence)):
+            better, gain = search(sentence, _confused_steps, 3)
+            if gain >= (CHARACTER_GAIN if NOT_LATIN.search(better) else LATIN_GAIN) * foreign:
+                return better
+        return RUN.sub(self._run, sentence) if RUN.search(sentence) else sentence
+
+    def _run(self, m: re.Match) -> str:
+        """One word of a script other than Latin; it has to become letters only, and no capitals inside."""
+        word = m.group()
+        if RIGHT_RUN.fullmatch(word) or cost(word) < FEW_GAIN:
+            return word
+        read = [w for w, undid, _ in _confused_steps(word) if undid and FEW_LETTERS.fullmatch(w)]
+        best = min(read, key=cost, default=word)
+        return best if cost(word) - cost(best) - STEP >= FEW_GAIN else word
 
     def _word(self, m: re.Match) -> str:
         """A word with an odd sign, read wrongly alone; its foreign characters have to become letters."""

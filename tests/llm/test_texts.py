@@ -211,6 +211,14 @@ def test_single_odd_characters_are_found():
         assert r(text) == (False, text), text
 
 
+@pytest.mark.parametrize(("written", "read", "word"), [("cp1251", "latin-1", "гены"), ("cp1251", "mac_roman", "файл"), ("koi8-r", "latin-1", "гены"), ("utf-8", "gbk", "出力"), ("utf-8", "cp932", "領域"), ("utf-8", "cp932", "ファイル"), ("euc_jp", "cp932", "細胞"), ("cp932", "gbk", "ファイル")])
+def test_short_words_and_asian_readings_are_restored(written, read, word):
+    for form in ("Writes the {} of each sample to a café.", "{}"):
+        assert garbled.Restorer()(form.format(word.encode(written).decode(read))) == (True, form.format(word))
+    for right in ("The файл is read", "The ГОСТ is read", "the 細胞 and 文件 are read", "データ and 出力", "tool\n├── c.txt", "±≤≥ 5"):
+        assert garbled.Restorer()(right) == (False, right), right
+
+
 BAD = ["HTTP Error 404: Not Found", "<html><head><title>503 Service Unavailable</title></head></html>", "Please enable JavaScript to view this page.", "Our site cannot be shown without scripting.", "Lorem ipsum dolor sit amet nulla vitae metus", "Help text will be added later.", "Sorts reads.\n\n{{ short_desc }}\n\n--a  b", "Author: <your author goes here>", "TODO: write param table", "Usage: tool\n\n@CITATION@", "[INSERT LONG HELP HERE]", "SEITE NICHT GEFUNDEN."]
 GOOD = ["Filters reads by length and quality before they are merged.", "Usage: tool <reads> <bed> [options]\n  --a INT  length [default: 3]", "Names in --x may hold ``{{gene}}``, which is replaced by the gene name at run time.", "Threads are taken from \\${SLOTS:-4} for sorting.", "Use --x '%(chrom)s_%(start)s' to choose names.", "TODO entries in the sample sheet are skipped.", "usage: tool [-h] [--x N] bed [bed ...]\n\nResponses with status 503 (Service Unavailable) are retried 5 times before the run fails.", "A file such as <name>_<part>.bed is accepted."]
 
