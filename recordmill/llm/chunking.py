@@ -6,8 +6,8 @@ tables, range by range, places the cuts; the pieces are read by offset. No stage
 files are read range by range, and again piece by piece.
 
 A cut is placed at the last paragraph end in the upper half of the room left, else the last line end
-there, else the last sentence end, else the last word end, else before the last character that would
-not fit. Each piece after the first begins ``overlap`` bytes before the last cut, or as many fewer as
+there, else the last sentence end, else the last word end; if there is none, at the last boundary of any
+kind in the lower half that leaves more than the overlap; else before the last character that would not fit. Each piece after the first begins ``overlap`` bytes before the last cut, or as many fewer as
 a whole character needs.
 
 Cases: null and empty items and items that fit give no pieces; a text without any boundary is cut
@@ -85,15 +85,23 @@ class Cutter:
         low = self.cut + (top - self.cut) // 2
         for k, places in enumerate(self.ahead):
             i = int(np.searchsorted(places, top, side="right"))
-            if i and places[i - 1] > (low if k < 4 else self.cut):
+            if i and places[i - 1] > low and k < 4:
                 at = places[i - 1]
                 break
         else:
-            raise ValueError("no character starts in a piece: the item isn't UTF-8")
+            at = self._early(top)
         self.ends.append((self.begin, at))
         self.cut, self.begin = at, at - self.overlap
         self.ahead = [places[int(np.searchsorted(places, at, side="right")) :] for places in self.ahead]
 
+    def _early(self, top: int) -> int:
+        """The last boundary of any level that leaves more than the overlap, else the last start of a character."""
+        for levels, low in ((self.ahead[:4], self.cut + self.overlap), (self.ahead[4:], self.cut)):
+            last = [places[i - 1] for places in levels if (i := int(np.searchsorted(places, top, side="right")))]
+            if last and max(last) > low:
+                return max(last)
+        raise ValueError("no character starts in a piece: the item isn't UTF-8")
+
     def finish(self, size: int) -> list[tuple[int, int]]:
         while size - self.begin > self.limit:
             self._cut()

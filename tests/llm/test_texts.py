@@ -56,6 +56,14 @@ def test_cuts_prefer_paragraphs_lines_sentences_words(spark):
         assert all(p.endswith(mark) for p in pieces) and "".join(pieces) == body
 
 
+def test_boundary_in_the_lower_half_beats_a_cut_inside_of_a_word(spark):
+    body = "word " * 60 + "x" * 900 + " " + "word " * 60
+    df = spark.createDataFrame([("a", body)], "item string, text string")
+    for n in (300, 64_000):
+        cuts = [r.stop for r in chunking.split_texts(df, "item", "text", 1000, 100, n).orderBy("piece_no").collect()]
+        assert cuts[0] == 300 and cuts[-1] == len(body)
+
+
 def test_ranges_do_not_change_cuts(spark):
     df = spark.createDataFrame(long_texts(), "item string, text string")
     one, other = ({(r.item, r.piece_no, r.stop) for r in chunking.split_texts(df, "item", "text", 1000, 100, n).collect()} for n in (512, 64_000))
