@@ -241,6 +241,14 @@ def test_residue(spark):
     assert residue.residue(df.where("false"), "pos", ("a", "b")).count() == 0
 
 
+def test_long_placeholders_and_notes_in_long_help():
+    model = residue.train([])
+    long = "Clusters reads of each sample before they are merged with others. " * 200
+    slots = ["[Insert a description of what the tool does with its inputs, which parameters it has and how its outputs are to be read by its users]", "Documentation will be added later.", "Help text for the options to be written."]
+    odds = model.residue([long, *(f"{long}\n\n{s}\n\n{long}" for s in slots), long + "Path of the summary to be written. The text to be added to names."], WordHashes())
+    assert odds[0] < 0 and odds[-1] < 0 and all(o > 0 for o in odds[1:-1])
+
+
 def test_very_long_value_with_one_slot():
     model = residue.train([])
     long = "Clusters reads of each sample before they are merged with others. " * 2000
