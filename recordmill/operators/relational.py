@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from ..session import written
+
 
 def frequencies(df: DataFrame, *keys: str, count: str = "n") -> DataFrame:
     return df.groupBy(*keys).agg(F.count("*").alias(count))
@@ -50,10 +52,17 @@ def pending(rows: DataFrame, done: DataFrame, key: str) -> DataFrame:
 
 
 def wanted(rows: DataFrame, keys: DataFrame, key: str, alternatives: list[str]) -> DataFrame:
-    """Rows of which any of several columns is among the keys: one equality join on the exploded columns."""
-    ids = keys.select(F.col(key).alias("_key")).distinct()
-    marked = rows.withColumn("_key", F.explode(F.array_distinct(F.array(*alternatives))))
-    return marked.join(ids, "_key", "left_semi").drop("_key").dropDuplicates()
+    """Rows of which any of several columns is among the keys; equal rows stay as many as they were.
+
+    The keys are distinct, so each alternative's join adds no row; a null is never among the keys.
+    """
+    ids = keys.select(F.col(key).alias("_key")).where("_key IS NOT NULL").distinct()
+    hit = rows
+    for k, c in enumerate(alternatives):
+        found = ids.select(F.col("_key").alias(f"_key{k}"), F.lit(True).alias(f"_hit{k}"))
+        hit = hit.join(found, F.col(c) == F.col(f"_key{k}"), "left").drop(f"_key{k}")
+    marks = [f"_hit{k}" for k in range(len(alternatives))]
+    return hit.where(F.coalesce(*marks, F.lit(False))).drop(*marks)
 
 
 def compared(left: DataFrame, right: DataFrame, key: str, columns: list[str]) -> DataFrame:
@@ -98,12 +107,17 @@ def ordinal_names(df: DataFrame, by: list[str], name: str, order: str, out: str
 
 
 def positions(df: DataFrame, order: str, out: str = "index", parts: int = 64) -> DataFrame:
-    """0-based position by a unique order column, without sorting into one task: counts of hash-free ranges are summed."""
-    spread = df.repartitionByRange(parts, order).withColumn("_part", F.spark_partition_id())
-    sizes = spread.groupBy("_part").agg(F.count("*").alias("_n"))
+    """0-based position by a unique order column, without sorting into one task: sizes of ranges are summed.
+
+    The ranged rows are written once with the number of their range. Ranges are found by sampling, so two plans
+    over the same frame may cut it differently; sizes and places have to come from one cut.
+    """
+    ranged = written(df.repartitionByRange(parts, order).withColumn("_part", F.spark_partition_id()), "ranges")
+    sizes = ranged.groupBy("_part").agg(F.count("*").alias("_n"))
     before = sizes.withColumn("_before", F.sum("_n").over(Window.orderBy("_part")) - F.col("_n")).select("_part", "_before")  # ``parts`` rows
     within = F.row_number().over(Window.partitionBy("_part").orderBy(order)) - 1
-    return spread.withColumn("_within", within).join(F.broadcast(before), "_part").withColumn(out, (F.col("_before") + F.col("_within")).cast("long")).drop("_part", "_before", "_within")
+    placed = ranged.withColumn("_within", within).join(F.broadcast(before), "_part")  # ``parts`` rows
+    return placed.withColumn(out, (F.col("_before") + F.col("_within")).cast("long")).drop("_part", "_before", "_within")
 
 
 def round_robin(df: DataFrame, order: str, shards: int) -> DataFrame:

@@ -2,6 +2,7 @@
 
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.window import Window
 
 from recordmill.functions import commands, keys, markup, numbers, paths, recipes, text
 from recordmill.operators import estimates, relational, texts
@@ -352,3 +353,18 @@ def test_extraction(spark):
     rows = [(WRAPPER, True, True), ("<tool>", False, False), ("<a></tool>", False, False), ("<x></tool></x>", True, False)]
     got = values(spark, rows, "x string, ok boolean, root boolean", extraction.failure_of(markup.diagnostics("x"), F.col("ok"), F.col("root"), F.lit(0)))
     assert [(g[0].error, g[0].cut) for g in got] == [(None, False), ("the document is cut off", True), ("the document can't be parsed", False), ("the document is no tool", False)]
+
+
+def test_positions_are_exact_beyond_the_range_sample(spark):
+    """Half a million rows with a payload, more than the ranges are sampled from."""
+    rows = spark.range(500_000, numPartitions=6).select((F.col("id") * 7919 % 500_009).alias("k"), F.repeat(F.lit("x"), 40).alias("text"), F.rand(3).alias("more"))
+    placed = relational.positions(rows, "k", "place")
+    want = F.row_number().over(Window.orderBy("k")) - 1
+    assert placed.withColumn("want", want).where("place <> want").count() == 0
+    assert placed.columns == ["k", "text", "more", "place"] and placed.count() == 500_000
+
+
+def test_wanted_keeps_equal_rows(spark):
+    rows = spark.createDataFrame([("a", "x"), ("a", "x"), ("b", "y"), (None, "z"), (None, None), ("x", "a")], "one string, two string")
+    got = relational.wanted(rows, spark.createDataFrame([("a",), ("a",), ("z",), (None,)], "k string"), "k", ["one", "two"]).collect()
+    assert sorted(map(str, got)) == sorted(map(str, [r for r in rows.collect() if "a" in (r.one, r.two) or r.two == "z"])) and len(got) == 4
