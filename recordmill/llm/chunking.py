@@ -1,35 +1,43 @@
 """Splitting of oversized items at natural boundaries, by byte ranges.
 
-Items are cut into byte ranges with halos; each range is searched for boundaries on its own; the
-range lengths' running sum turns places in a range into offsets of the item; a walk over the boundary
-tables, range by range, places the cuts; the pieces are read by offset. No stage holds a whole file:
-files are read range by range, and again piece by piece.
-
-A cut is placed at the last paragraph end in the upper half of the room left, else the last line end
-there, else the last sentence end, else the last word end; if there is none, at the last boundary of any
-kind in the lower half that leaves more than the overlap; else before the last character that would not fit. Each piece after the first begins ``overlap`` bytes before the last cut, or as many fewer as
-a whole character needs.
-
-Cases: null and empty items and items that fit give no pieces; a text without any boundary is cut
-between characters; line ends may be LF, CRLF or CR LF mixed; very long texts are taken whole; repeated
-ids of an item are told apart by nothing and must be unique; no rows give no rows.
+An item is cut into byte ranges. A range's edge moves forward from its nominal place to the first character
+that no boundary pattern can span (reading as far behind the range as that takes), so a boundary lies whole in
+one range, however long its run of blanks is, and what a range finds doesn't depend on where ranges begin.
+Every range gives a table of its boundaries and those of one piece behind it, relative to its own start; the
+running sum of the lengths turns them into offsets of the item. Cuts are then placed range by range, and the
+pieces are read by offset.
+
+A row's text is walked through its ranges where it is, without a shuffle. The ranges of files are walked in
+parallel: each begins with a guess of the last cut before it, hands its own last cut to the next range, and is
+walked again while that changes. Chains of cuts that begin at different places meet at the next good boundary,
+so few ranges are walked twice; a file whose chains haven't met after ``ROUNDS`` is walked range by range. No
+stage holds a whole file.
+
+A cut is placed at the last paragraph end in the upper half of the room left, else the last line end there,
+else the last sentence end, else the last word end; if there is none, at the last boundary of any kind in the
+lower half that leaves more than the overlap; else before the last character that would not fit. Each piece
+after the first begins ``overlap`` bytes before the last cut, or as many fewer as a whole character needs.
+
+Cases: null and empty items and items that fit give no pieces; a text without any boundary is cut between
+characters; line ends may be LF, CRLF or CR LF mixed; very long texts are taken whole; rows of equal ids are
+cut each on its own; no rows give no rows; other columns aren't read.
 """
 
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyarrow.fs import FileSystem, LocalFileSystem
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from ..session import written
+from ..session import spread, written
 
 LIMIT, OVERLAP = 6_000, 200
-HALO = 16
 #: Best first: what a cut may follow. A character start is the last resort.
 LEVELS = (
     re.compile(rb"\r?\n[ \t]*(?:\r?\n[ \t]*)*\r?\n"),
@@ -37,193 +45,206 @@ LEVELS = (
     re.compile(rb"[.!?][\"')\]]*[ \t]+|\xe3\x80\x82|\xef\xbc\x81|\xef\xbc\x9f"),
     re.compile(rb"[ \t]+|\xe3\x80\x80"),
 )
-_TABLE = "item string, range_no long, start long, p array<long>, l array<long>, s array<long>, w array<long>, c array<long>"
-#: Character starts are kept one in every so many bytes, so a table is far smaller than its range.
+#: A pattern that goes over the place between two characters has one of these on both sides of it.
+SPANNING = frozenset(b" \t\r\n.!?\"')]")
+#: Character starts are kept in the first bytes of every so many only, so a table is far smaller than its range.
 GRID = 64
+#: Rounds in which the ranges of a file are walked in parallel before it is walked range by range.
+ROUNDS = 4
+Read = Callable[[int, int], bytes]
+
+
+def checked(limit: int, overlap: int) -> None:
+    if not 0 <= 2 * overlap < limit or limit < 4 * GRID:
+        raise ValueError("overlap must be under half of limit, and limit at least 256 bytes")
+
+
+def edge(read: Read, nominal: int, size: int, block: int = 256) -> int:
+    """The first place from ``nominal`` on where a character begins that no pattern spans with the one before."""
+    at = nominal
+    while 0 < at < size:
+        data = read(at - 1, min(size, at + block))
+        for k in range(1, len(data)):
+            if data[k] & 0xC0 != 0x80 and not (data[k] in SPANNING and data[k - 1] in SPANNING):
+                return at + k - 1
+        at += len(data) - 1
+    return min(max(at, 0), size)
+
+
+def boundaries(data: bytes, start: int) -> list[np.ndarray]:
+    """Ends of the boundaries of each level in a range's data, and grid character starts, relative to the range."""
+    found = [np.fromiter((m.end() for m in level.finditer(data)), np.int64) for level in LEVELS]
+    raw = np.frombuffer(data, np.uint8)
+    first = np.arange((-start) % GRID - GRID, len(raw), GRID)
+    near = (first[:, None] + np.arange(4)).ravel()
+    near = near[(near > 0) & (near < len(raw))]
+    return [*found, near[(raw[near] & 0xC0) != 0x80]]
+
+
+def table(read: Read, nominal: int, range_bytes: int, size: int, limit: int) -> tuple[int, list[np.ndarray]]:
+    """(length, boundaries) of the range that begins at the edge after ``nominal``; boundaries reach one piece further."""
+    start, end = edge(read, nominal, size), edge(read, min(size, nominal + range_bytes), size)
+    if start >= end:
+        return 0, [np.empty(0, np.int64)] * 5
+    return end - start, boundaries(read(start, edge(read, min(size, end + limit), size)), start)
+
+
+def walk(levels: list[np.ndarray], start: int, end: int, size: int, cut: int, limit: int, overlap: int) -> list[tuple[int, int]]:
+    """(begin, stop) of the pieces that follow cuts in [start, end), from the cut before; the last stop is the next range's."""
+    pieces = []
+    while cut < end:
+        begin = cut - overlap if cut else 0
+        if size - begin <= limit:
+            return [*pieces, (begin, size)]
+        top, room = begin + limit - start, cut - start
+        low = room + (top - room) // 2
+        last = [int(p[i - 1]) if (i := np.searchsorted(p, top, side="right")) else -1 for p in levels]
+        at = next((p for p in last[:4] if p > low), -1)
+        if at < 0 and max(last[:4]) > room + overlap:
+            at = max(last[:4])
+        if at < 0:
+            at = last[4]
+        if at <= room:
+            raise ValueError("no character starts in a piece: the item isn't UTF-8")
+        cut = at + start
+        pieces.append((begin, cut))
+    return pieces
+
+
+def _skip(data: bytes) -> int:
+    """Bytes before the first whole character."""
+    return next((k for k in range(min(4, len(data))) if data[k] & 0xC0 != 0x80), 0)
+
+
+def text_pieces(data: bytes, limit: int, overlap: int, range_bytes: int) -> list[tuple[int, int]]:
+    """(begin, stop) of a text's pieces, walked through its ranges."""
+    size, cut, out = len(data), 0, []
+    read = lambda a, b: data[a:b]
+    tables = [table(read, k, range_bytes, size, limit) for k in range(0, size, range_bytes)]
+    ends = np.cumsum([n for n, _ in tables]).tolist()
+    for (n, levels), end in zip(tables, ends, strict=True):
+        if n and cut < size:
+            pieces = walk(levels, end - n, end, size, cut, limit, overlap)
+            out += pieces
+            cut = pieces[-1][1] if pieces else cut
+    return out
 
 
-def range_boundaries(data: bytes, before: int, length: int, start: int) -> list[np.ndarray]:
-    """Offsets in the item of the boundaries of each level in (start, start + length].
+def split_texts(values: DataFrame, item_col: str, text_col: str, limit: int = LIMIT, overlap: int = OVERLAP, range_bytes: int = 16_384) -> DataFrame:
+    """(item, piece_no, begin, stop, piece) of every text of more than ``limit`` bytes.
 
-    ``data`` holds ``before`` bytes of halo, the range, and a halo behind it.
+    ``begin`` and ``stop`` are byte offsets in the text's UTF-8 form.
     """
-    found = []
-    for level in LEVELS:
-        ends = np.fromiter((m.end() for m in level.finditer(data)), np.int64) - before
-        found.append(ends[(ends > 0) & (ends <= length)] + start)
-    back = min(before, 8)  # the character before the range tells whether its first one begins a grid cell
-    raw = np.frombuffer(data, np.uint8)[before - back : before + length + 1]
-    firsts = np.flatnonzero((raw & 0xC0) != 0x80) - back
-    cells = (firsts + start) // GRID
-    keep = np.ones(len(firsts), bool)
-    keep[1:] = cells[1:] != cells[:-1]
-    keep &= (firsts > 0) & (firsts <= length)
-    found.append(firsts[keep] + start)
-    return found
-
-
-class Cutter:
-    """Places cuts while boundary tables arrive in order; holds only the boundaries of the room ahead."""
-
-    def __init__(self, limit: int, overlap: int) -> None:
-        if not 0 <= 2 * overlap < limit or limit < 4 * GRID:
-            raise ValueError("overlap must be under half of limit, and limit at least 256 bytes")
-        self.limit, self.overlap = limit, overlap
-        self.begin, self.cut = 0, 0
-        self.ahead: list[list[int]] = [[] for _ in range(5)]
-        self.ends: list[tuple[int, int]] = []
-
-    def add(self, levels: list, end: int) -> None:
-        """Boundaries of the next range; ``end`` is where the range ends."""
-        for mine, new in zip(self.ahead, levels, strict=True):
-            mine.extend(new)
-        while self.begin + self.limit < end:
-            self._cut()
-
-    def _cut(self) -> None:
-        top = self.begin + self.limit
-        low = self.cut + (top - self.cut) // 2
-        for k, places in enumerate(self.ahead):
-            i = int(np.searchsorted(places, top, side="right"))
-            if i and places[i - 1] > low and k < 4:
-                at = places[i - 1]
-                break
-        else:
-            at = self._early(top)
-        self.ends.append((self.begin, at))
-        self.cut, self.begin = at, at - self.overlap
-        self.ahead = [places[int(np.searchsorted(places, at, side="right")) :] for places in self.ahead]
-
-    def _early(self, top: int) -> int:
-        """The last boundary of any level that leaves more than the overlap, else the last start of a character."""
-        for levels, low in ((self.ahead[:4], self.cut + self.overlap), (self.ahead[4:], self.cut)):
-            last = [places[i - 1] for places in levels if (i := int(np.searchsorted(places, top, side="right")))]
-            if last and max(last) > low:
-                return max(last)
-        raise ValueError("no character starts in a piece: the item isn't UTF-8")
-
-    def finish(self, size: int) -> list[tuple[int, int]]:
-        while size - self.begin > self.limit:
-            self._cut()
-        return [*self.ends, (self.begin, size)]
-
-
-def _detect(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows (item, range_no, start, length, before, data) to boundary tables."""
-    longs = pa.list_(pa.int64())
-    for batch in batches:
-        item, no, start, length, before, data = (batch.column(k) for k in range(6))
-        tables = [range_boundaries(d, b, n, s) for d, b, n, s in zip(data.to_pylist(), before.to_pylist(), length.to_pylist(), start.to_pylist(), strict=True)]
-        columns = [pa.array([t[k] for t in tables], longs) for k in range(5)]
-        ends = pa.array([s + n for s, n in zip(start.to_pylist(), length.to_pylist(), strict=True)], pa.int64())
-        yield pa.RecordBatch.from_arrays([item, no, ends, *columns], names=["item", "range_no", "start", "p", "l", "s", "w", "c"])
-
-
-def _walk(limit: int, overlap: int):
-    """Boundary tables, sorted by item and range, to (item, piece_no, from, to); one range at a time is held."""
+    checked(limit, overlap)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, cutter, size = None, None, 0
+        for batch in batches:
+            for item, text in zip(batch.column(0), batch.column(1), strict=True):
+                data = text.as_buffer().to_pybytes()
+                bounds = text_pieces(data, limit, overlap, range_bytes)
+                starts = [b + (_skip(data[b : b + 4]) if k else 0) for k, (b, _) in enumerate(bounds)]
+                stops = [e for _, e in bounds]
+                parts = pa.array([data[a:b].decode("utf-8") for a, b in zip(starts, stops, strict=True)], pa.string())
+                yield pa.RecordBatch.from_arrays([pa.array([item.as_py()] * len(bounds), pa.string()), pa.array(range(len(bounds)), pa.int64()), pa.array(starts, pa.int64()), pa.array(stops, pa.int64()), parts], names=["item", "piece_no", "begin", "stop", "piece"])
 
-        def pieces() -> pa.RecordBatch:
-            ends = cutter.finish(size)
-            begin, stop = zip(*ends, strict=True)
-            return pa.RecordBatch.from_arrays([pa.array([now] * len(ends)), pa.array(range(len(ends)), pa.int64()), pa.array(begin, pa.int64()), pa.array(stop, pa.int64())], names=["item", "piece_no", "begin", "stop"])
+    big = values.select(F.col(item_col).cast("string").alias("item"), F.col(text_col).alias("text")).where(F.octet_length("text") > limit)
+    return spread(big).mapInArrow(run, "item string, piece_no long, begin long, stop long, piece string")
 
-        for batch in batches:
-            items, ends = batch.column(0).to_pylist(), batch.column(2).to_pylist()
-            levels = [batch.column(k).to_pylist() for k in range(3, 8)]
-            for k, item in enumerate(items):
-                if item != now:
-                    if cutter:
-                        yield pieces()
-                    now, cutter = item, Cutter(limit, overlap)
-                size = ends[k]
-                cutter.add([level[k] for level in levels], size)
-        if cutter:
-            yield pieces()
 
-    return run
+def _reader(path: str):  # noqa: ANN202
+    """An open file of any file system that Arrow knows by its URI, or a path of a shared folder."""
+    system, place = FileSystem.from_uri(path) if "://" in path else (LocalFileSystem(), path)
+    return system.open_input_file(place)
 
 
-def _cuts(ranges: DataFrame, limit: int, overlap: int) -> DataFrame:
-    """(item, piece_no, begin, stop) from rows (item, range_no, start, length, before, data)."""
-    tables = ranges.select("item", "range_no", "start", "length", "before", "data").mapInArrow(_detect, _TABLE)
-    ordered = tables.repartition("item").sortWithinPartitions("item", "range_no")
-    return ordered.mapInArrow(_walk(limit, overlap), "item string, piece_no long, begin long, stop long")
+_LISTS = ("p", "l", "s", "w", "c")
 
 
-def _aligned(data: str) -> F.Column:
-    """Bytes to skip at the front of ``data`` so that it begins with a whole character."""
-    byte = lambda k: F.hex(F.substring(data, k, 1)).between("80", "BF")
-    return F.when(~byte(1), 0).when(~byte(2), 1).when(~byte(3), 2).otherwise(3)
+def _tables(batches: Iterator[pa.RecordBatch], range_bytes: int, limit: int) -> Iterator[pa.RecordBatch]:
+    """Rows (item, size, range_no) to boundary tables."""
+    for batch in batches:
+        for row in batch.to_pylist():
+            with _reader(row["item"]) as f:
+                n, levels = table(lambda a, b: f.read_at(b - a, a), row["range_no"] * range_bytes, range_bytes, row["size"], limit)  # noqa: B023
+            yield pa.RecordBatch.from_pydict({"item": [row["item"]], "size": [row["size"]], "range_no": [row["range_no"]], "length": [n]} | {c: pa.array([x], pa.list_(pa.int64())) for c, x in zip(_LISTS, levels, strict=True)})
 
 
-def split_texts(values: DataFrame, item_col: str, text_col: str, limit: int = LIMIT, overlap: int = OVERLAP, range_bytes: int = 16_384) -> DataFrame:
-    """(item, piece_no, begin, stop, piece) of every text of more than ``limit`` bytes; ``item`` is unique.
+def _walk_rows(limit: int, overlap: int, alone: bool):  # noqa: ANN202
+    """Tables with a start and the last cut before (``entry``) to (item, range_no, entry, leave, begins, stops).
 
-    ``begin`` and ``stop`` are byte offsets in the text's UTF-8 form.
+    If not ``alone``, rows come sorted by item and range, and each takes its entry from the row before.
     """
-    big = values.select(F.col(item_col).cast("string").alias("item"), F.encode(F.col(text_col), "utf-8").alias("bin")).where(F.octet_length(text_col) > limit)
-    size = F.octet_length("bin")
-    starts = F.sequence(F.lit(0), size - 1, F.lit(range_bytes))
-    ranges = big.select("item", "bin", F.posexplode(starts).alias("range_no", "start"))
-    before = F.least(F.lit(HALO), F.col("start"))
-    ranges = ranges.select(
-        "item",
-        F.col("range_no").cast("long").alias("range_no"),
-        F.col("start").cast("long").alias("start"),
-        F.least(F.lit(range_bytes), size - F.col("start")).cast("long").alias("length"),
-        before.cast("long").alias("before"),
-        F.substring("bin", F.col("start") - before + 1, before + range_bytes + HALO).alias("data"),
-    )
-    cuts = _cuts(ranges, limit, overlap).groupBy("item").agg(F.array_sort(F.collect_list(F.struct("piece_no", "begin", "stop"))).alias("cuts"))
-    pieces = big.join(cuts, "item").select("item", "bin", F.explode("cuts").alias("c"))
-    pieces = pieces.select("item", "c.*", F.substring("bin", (F.col("c.begin") + 1).cast("int"), (F.col("c.stop") - F.col("c.begin")).cast("int")).alias("data"))
-    skip = F.when(F.col("piece_no") == 0, 0).otherwise(_aligned("data"))
-    pieces = pieces.withColumn("skip", skip)
-    return pieces.select("item", "piece_no", (F.col("begin") + F.col("skip")).alias("begin"), "stop", F.decode(F.substring("data", F.col("skip") + 1, F.octet_length("data")), "utf-8").alias("piece"))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, cut = None, 0
+        for batch in batches:
+            names = batch.schema.names
+            for k in range(batch.num_rows):
+                row = {c: batch.column(c)[k].as_py() for c in names if c not in _LISTS}
+                if alone or row["item"] != now:
+                    now, cut = row["item"], row["entry"] if alone else 0
+                entry = cut
+                if cut < row["size"]:
+                    levels = [batch.column(c)[k].values.to_numpy() for c in _LISTS]
+                    pieces = walk(levels, row["start"], row["start"] + row["length"], row["size"], cut, limit, overlap)
+                    cut = pieces[-1][1] if pieces else cut
+                else:
+                    pieces = []
+                yield pa.RecordBatch.from_pydict({"item": [row["item"]], "range_no": [row["range_no"]], "entry": [entry], "leave": [cut], "begins": pa.array([[b for b, _ in pieces]], pa.list_(pa.int64())), "stops": pa.array([[e for _, e in pieces]], pa.list_(pa.int64()))})
+
+    return run
+
+
+_WALKED = "item string, range_no long, entry long, leave long, begins array<long>, stops array<long>"
+
+
+def _file_cuts(tables: DataFrame, limit: int, overlap: int) -> DataFrame:
+    """(item, range_no, begins, stops) of all ranges."""
+    by = ["item", "range_no"]
+    entries = tables.select("item", "range_no", "start", F.col("start").alias("entry"))
+    walked = None
+    for k in range(ROUNDS):
+        fresh = tables.join(entries.select(*by, "entry"), by).mapInArrow(_walk_rows(limit, overlap, True), _WALKED)
+        if walked is not None:
+            fresh = fresh.union(walked.join(entries.select(*by), by, "left_anti"))
+        walked = written(fresh, f"walked-{k}")
+        before = F.lag("leave").over(Window.partitionBy("item").orderBy("range_no"))  # rows are ranges, without their tables
+        moved = walked.select(*by, F.coalesce(before, F.lit(0)).alias("now"), "entry")
+        entries = written(moved.where("now <> entry").select(*by, F.col("now").alias("entry")), f"entries-{k}")
+        if entries.isEmpty():
+            return walked.select(*by, "begins", "stops")
+    open_items = entries.select("item").distinct()
+    rest = tables.join(open_items, "item", "left_semi").withColumn("entry", F.lit(0).cast("long")).repartition("item").sortWithinPartitions(*by)
+    return walked.join(open_items, "item", "left_anti").union(rest.mapInArrow(_walk_rows(limit, overlap, False), _WALKED)).select(*by, "begins", "stops")
 
 
 def split_files(spark: SparkSession, files: list[tuple[str, int]], limit: int = LIMIT, overlap: int = OVERLAP, range_bytes: int = 8 << 20) -> DataFrame:
-    """Pieces of UTF-8 text files that all workers can open, given as (path, size in bytes).
+    """Pieces of UTF-8 text files that all workers can open, given as (path or URI, size in bytes).
 
-    Each worker seeks to its range and reads that and the halos only; pieces are read by offset.
+    Each worker reads its range and what its edges need; pieces are read by offset, a group of neighbours at a time.
     """
+    checked(limit, overlap)
     listed = spark.createDataFrame(files, "item string, size long").where(F.col("size") > limit)
-    ranges = listed.select("item", "size", F.posexplode(F.sequence(F.lit(0).cast("long"), F.col("size") - 1, F.lit(range_bytes).cast("long"))).alias("range_no", "start"))
-    spread = max(1, min(10_000, sum(-(-size // range_bytes) for _, size in files)))
-    ranges = ranges.repartition(spread, "item", "range_no").withColumns({"length": F.least(F.lit(range_bytes), F.col("size") - F.col("start")), "before": F.least(F.lit(HALO).cast("long"), F.col("start"))})
-
-    def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row in batch.to_pylist():
-                with open(row["item"], "rb") as f:
-                    f.seek(row["start"] - row["before"])
-                    data = f.read(row["before"] + row["length"] + HALO)
-                yield pa.RecordBatch.from_pylist([{k: row[k] for k in ("item", "range_no", "start", "length", "before")} | {"data": data}])
-
-    loaded = ranges.select("item", F.col("range_no").cast("long").alias("range_no"), "start", "length", "before").mapInArrow(read, "item string, range_no long, start long, length long, before long, data binary")
-    # The tables' running sum of range lengths is checked against where each range says it starts.
-    sums = F.sum("length").over(Window.partitionBy("item").orderBy("range_no")) - F.col("length")
-    odd = ranges.withColumn("sum", sums).where("sum <> start").limit(1).count()
-    if odd:
-        raise ValueError("the ranges of a file don't join up")
-    cuts = written(_cuts(loaded, limit, overlap), "cuts")
+    ranges = listed.select("item", "size", F.explode(F.sequence(F.lit(0).cast("long"), ((F.col("size") - 1) / range_bytes).cast("long"))).alias("range_no"))
+    parts = max(1, min(10_000, sum(-(-size // range_bytes) for _, size in files)))
+    ranges = ranges.repartition(parts, "item", "range_no")
+    lists = ", ".join(f"{c} array<long>" for c in _LISTS)
+    found = written(ranges.mapInArrow(lambda batches: _tables(batches, range_bytes, limit), f"item string, size long, range_no long, length long, {lists}"), "tables")
+    ahead = Window.partitionBy("item").orderBy("range_no")
+    starts = found.select("item", "range_no", (F.sum("length").over(ahead) - F.col("length")).alias("start"))  # rows are ranges, without their tables
+    cuts = written(_file_cuts(found.join(starts, ["item", "range_no"]), limit, overlap), "cuts")
+    numbered = cuts.select("item", "range_no", (F.sum(F.size("stops")).over(ahead) - F.size("stops")).alias("first"))
+    pieces = cuts.join(numbered, ["item", "range_no"]).where(F.size("stops") > 0)
 
     def fetch(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows = batch.to_pylist()
-            for row in rows:
-                with open(row["item"], "rb") as f:
-                    f.seek(row["begin"])
-                    data = f.read(row["stop"] - row["begin"])
-                skip = 0
-                while row["piece_no"] and skip < 3 and skip < len(data) and data[skip] & 0xC0 == 0x80:
-                    skip += 1
-                row["begin"] += skip
-                row["piece"] = data[skip:].decode("utf-8")
-            if rows:
-                yield pa.RecordBatch.from_pylist(rows)
-
-    return cuts.repartition(spread, "item", "piece_no").mapInArrow(fetch, "item string, piece_no long, begin long, stop long, piece string")
+            for row in batch.to_pylist():
+                with _reader(row["item"]) as f:
+                    for lo in range(0, len(row["stops"]), 512):
+                        begins, stops = row["begins"][lo : lo + 512], row["stops"][lo : lo + 512]
+                        data, base = f.read_at(stops[-1] - begins[0], begins[0]), begins[0]
+                        starts = [b + (_skip(data[b - base : b - base + 4]) if b else 0) for b in begins]
+                        texts = [data[a - base : e - base].decode("utf-8") for a, e in zip(starts, stops, strict=True)]
+                        yield pa.RecordBatch.from_pydict({"item": [row["item"]] * len(texts), "piece_no": pa.array(range(row["first"] + lo, row["first"] + lo + len(texts)), pa.int64()), "begin": starts, "stop": stops, "piece": texts})
+
+    return pieces.select("item", "first", "begins", "stops").repartition(parts, "item", "first").mapInArrow(fetch, "item string, piece_no long, begin long, stop long, piece string")

@@ -64,10 +64,36 @@ def test_boundary_in_the_lower_half_beats_a_cut_inside_of_a_word(spark):
         assert cuts[0] == 300 and cuts[-1] == len(body)
 
 
-def test_ranges_do_not_change_cuts(spark):
-    df = spark.createDataFrame(long_texts(), "item string, text string")
-    one, other = ({(r.item, r.piece_no, r.stop) for r in chunking.split_texts(df, "item", "text", 1000, 100, n).collect()} for n in (512, 64_000))
-    assert one == other
+def whole_text_cuts(data, limit, overlap):
+    """The rule for cuts over a text's whole list of boundaries."""
+    levels = [[m.end() for m in level.finditer(data)] for level in chunking.LEVELS]
+    grid = [k for k in range(1, len(data)) if data[k] & 0xC0 != 0x80 and k % chunking.GRID < 4]
+    cut, out = 0, []
+    while len(data) - (begin := cut - overlap if cut else 0) > limit:
+        top = begin + limit
+        low = cut + (top - cut) // 2
+        good = [[e for e in level if low < e <= top] for level in levels]
+        early = [e for level in levels for e in level if cut + overlap < e <= top]
+        cut_at = next((max(x) for x in good if x), max(early, default=0)) or max(e for e in grid if cut < e <= top)
+        out.append((begin, cut_at))
+        cut = cut_at
+    return [*out, (begin, len(data))]
+
+
+def test_ranges_do_not_change_cuts():
+    rng = random.Random(5)
+    samples = [*SAMPLES, "\n" + " " * 700 + "\n", "\r\n" * 200, " " * 90, "\n\t \n" * 60, '.")' * 150 + "  ", "。！？　" * 30, "a paragraph"]
+    for _ in range(60):
+        data = "".join(rng.choice(samples) for _ in range(rng.randint(3, 25))).encode()
+        if len(data) > 1000:
+            want = whole_text_cuts(data, 1000, 100)
+            assert all(chunking.text_pieces(data, 1000, 100, n) == want for n in (256, 300, 512, 4096, 16_384, 1 << 20))
+
+
+def test_long_blank_space_at_a_range_edge():
+    """A paragraph end of 40 blanks lies on the edge of a range of 4,096 bytes."""
+    data = ("a word " * 580 + "\n" + " " * 40 + "\n" + "next line\n" * 400).encode()
+    assert len({chunking.text_pieces(data, 6000, 200, n)[0] for n in (1024, 4096, 16_384, 1 << 20)}) == 1
 
 
 def test_files(spark, tmp_path):
@@ -81,12 +107,26 @@ def test_files(spark, tmp_path):
         got.setdefault(os.path.basename(r.item), []).append((r.piece_no, r.begin, r.stop, r.piece))
     assert set(got) == {n for n, t in texts.items() if len(t.encode()) > 1000}
     for name, parts in got.items():
-        check_pieces(texts[name].encode(), [p[1:] for p in sorted(parts)], 1000, 100)
+        parts.sort()
+        data = texts[name].encode()
+        assert [p[0] for p in parts] == list(range(len(parts)))
+        check_pieces(data, [p[1:] for p in parts], 1000, 100)
+        assert [p[2] for p in parts] == [stop for _, stop in whole_text_cuts(data, 1000, 100)]
+
+
+def test_file_whose_chains_never_meet(spark, tmp_path, monkeypatch):
+    """Without boundaries no guess of a range's first cut comes true: the file is walked range by range."""
+    monkeypatch.setattr(chunking, "ROUNDS", 2)
+    data = b"x" * 50_000
+    (tmp_path / "x").write_bytes(data)
+    got = chunking.split_files(spark, [("file://" + str(tmp_path / "x"), len(data))], 1000, 100, 3000).orderBy("piece_no").collect()
+    assert [r.stop for r in got] == [stop for _, stop in whole_text_cuts(data, 1000, 100)]
+    check_pieces(data, [(r.begin, r.stop, r.piece) for r in got], 1000, 100)
 
 
 def test_bad_limits():
     with pytest.raises(ValueError):
-        chunking.Cutter(1000, 500)
+        chunking.checked(1000, 500)
 
 
 def vocabulary():
