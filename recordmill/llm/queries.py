@@ -118,6 +118,12 @@ def p7_items(spark: SparkSession, d: str) -> DataFrame:
     return _leaks(spark, d).groupBy("item_id").agg(F.count("*").alias("documents"), F.max("words").alias("longest"))
 
 
+def p7_near(spark: SparkSession, d: str) -> DataFrame:
+    """Documents that hold all words of twelve consecutive ones of an item among fifteen, in any order."""
+    found = leaks.leaks(data.table(spark, d, "documents"), data.table(spark, d, "heldout_items"), "doc_id", "item_id", slop=3)
+    return found.select("doc_id", "item_id", F.col("spans").alias("places"))
+
+
 def p8_found(spark: SparkSession, d: str) -> DataFrame:
     return garbled.restore(data.table(spark, d, "documents"), "doc_id", "text").select("doc_id")
 
@@ -126,7 +132,7 @@ def p8_restored(spark: SparkSession, d: str) -> DataFrame:
     return garbled.restore(data.table(spark, d, "documents"), "doc_id", "text")
 
 
-QUERIES = {f.__name__: f for f in (p1_found, p1_groups, p2_found, p2_clean, p2_validation, p3_found, p3_counts, p4_found, p4_pieces, p5_found, p5_splits, p6_ids, p7_found, p7_items, p8_found, p8_restored)}
+QUERIES = {f.__name__: f for f in (p1_found, p1_groups, p2_found, p2_clean, p2_validation, p3_found, p3_counts, p4_found, p4_pieces, p5_found, p5_splits, p6_ids, p7_found, p7_items, p7_near, p8_found, p8_restored)}
 #: Equivalent SQL where SQL over whole tables is quick enough.
 ORACLES: dict[str, str] = {
     "p4_found": """

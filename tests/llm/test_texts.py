@@ -184,20 +184,43 @@ def test_leaks_equal_brute_force(spark):
     assert leaks.leaks(d, i.where("false"), "doc_id", "item_id").count() == 0
 
 
-def test_leaks_in_batches_of_items(spark, monkeypatch):
-    text = " ".join(f"w{k}" for k in range(20))
-    d, i = spark.createDataFrame([(1, text)], "doc_id long, text string"), spark.createDataFrame([(k, text) for k in range(5)], "item_id long, text string")
-    monkeypatch.setattr(leaks, "BATCH_BYTES", 200)
-    got = leaks.spans(d, i, "doc_id", "item_id").collect()
-    assert {(r.item, r.words, r.doc_word) for r in got} == {(k, 20, 0) for k in range(5)}
+@pytest.mark.parametrize("most", [0, 1 << 20])
+def test_leaks_of_sent_and_of_joined_items(spark, monkeypatch, most):
+    monkeypatch.setattr(leaks, "ITEM_BYTES", most)
+    rng = random.Random(8)
+    pool = [f"w{k}" for k in range(40)]
+    items = [(k, " ".join(rng.choice(pool) for _ in range(rng.randint(5, 50)))) for k in range(30)]
+    docs = [(k, " ".join(rng.choice(pool) for _ in range(20)) + " " + " ".join(items[k % 30][1].split()[3 : 3 + k % 25])) for k in range(200)]
+    docs += [(7, docs[8][1]), (500, None)]
+    d, i = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame([*items, (90, None), items[0]], "item_id long, text string")
+
+    def near(doc, item, slop):
+        d, w = doc.split(), item.split()
+        starts = [*range(0, len(w) - 12, 6), len(w) - 12] if len(w) >= 12 else []
+        return any(set(w[k : k + 12]) <= set(d[j : j + 12 + slop]) for k in starts for j in range(max(1, len(d) - 12 - slop + 1)))
+
+    got = {(r.doc_id, r.item_id) for r in leaks.leaks(d, i, "doc_id", "item_id").collect()}
+    phrase = lambda t, w: any(f" {' '.join(w.split()[k : k + 12])} " in f" {t} " for k in range(len(w.split()) - 11))
+    assert got == {(a, b) for a, t in docs for b, w in items if t and phrase(t, w)} and len(got) > 40
+    got = {(r.doc_id, r.item_id) for r in leaks.leaks(d, i, "doc_id", "item_id", slop=3).collect()}
+    assert got == {(a, b) for a, t in docs for b, w in items if t and near(t, w, 3)} and len(got) > 20
+    assert leaks.leaks(d.where("false"), i, "doc_id", "item_id").count() == leaks.leaks(d, i.where("false"), "doc_id", "item_id", slop=1).count() == 0
+
+
+def test_work_follows_matches_and_not_items():
+    """Of very many items only those whose blocks occur in a part are searched."""
+    many = leaks.Items([(k, " ".join(f"w{k + j}" for j in range(20))) for k in range(0, 40_000, 2)], 12)
+    index = leaks.Postings(["w7 " * 50 + " ".join(f"w{k}" for k in range(100, 130)) + " other"] * 3, many)
+    assert len(index.blocks()) < 60 and {s[0] for s in index.spans(None)} == {k for k in range(92, 119, 2)}
 
 
 def test_proximity(spark):
     words = [f"w{k}" for k in range(12)]
     mixed = words[6:] + ["x", "y"] + words[:6]
-    d, i = spark.createDataFrame([(1, " ".join(mixed)), (2, " ".join(words[:11]))], "doc_id long, text string"), spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
-    got = leaks.spans(d, i, "doc_id", "item_id", slop=4).collect()
+    d, i = spark.createDataFrame([(1, " ".join(mixed)), (2, " ".join(words[:11])), (3, " ".join(words[:6])), (4, " ".join(words[6:]))], "doc_id long, text string"), spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    got = leaks.spans(d.coalesce(1), i, "doc_id", "item_id", slop=4).collect()
     assert {(r.doc, r.kind) for r in got} == {(1, "proximity")}
+    assert leaks.spans(d, i, "doc_id", "item_id", slop=1).count() == 0
 
 
 SENTENCES = [
