@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import keys, numbers, text
-from ..operators import corpus, relational
+from ..operators import corpus, relational, versions
 from .tables import table
 
 
@@ -214,8 +214,8 @@ def mapping_versions(s, d):  # noqa: ANN001, ANN201
 def nearest_versions(s, d):  # noqa: ANN001, ANN201
     """Of each required package's versions in use, the one nearest to the one that the record requires."""
     m = _sources(s, d).where(~text.blank("required_version"))
-    offers = m.select("required_package", F.col("required_version").alias("offered")).distinct()
-    j = m.select("mapping_id", "required_package", "required_version").join(offers, "required_package").where("offered <> required_version")
+    near = versions.nearest(m, "required_package", "required_version").withColumnRenamed("nearest", "offered")
+    j = m.select("mapping_id", "required_package", "required_version").join(near, ["required_package", "required_version"])
     return j.groupBy("mapping_id").agg(F.min(keys.version_rank("required_version", "offered")).alias("best")).select("mapping_id", "best.tier", "best.version")
 
 

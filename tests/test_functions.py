@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from recordmill.functions import commands, keys, markup, numbers, paths, recipes, text
-from recordmill.operators import estimates, relational, texts
+from recordmill.operators import estimates, relational, texts, versions
 
 
 def values(spark, rows, schema, *columns):
@@ -368,3 +368,20 @@ def test_wanted_keeps_equal_rows(spark):
     rows = spark.createDataFrame([("a", "x"), ("a", "x"), ("b", "y"), (None, "z"), (None, None), ("x", "a")], "one string, two string")
     got = relational.wanted(rows, spark.createDataFrame([("a",), ("a",), ("z",), (None,)], "k string"), "k", ["one", "two"]).collect()
     assert sorted(map(str, got)) == sorted(map(str, [r for r in rows.collect() if "a" in (r.one, r.two) or r.two == "z"])) and len(got) == 4
+
+
+def test_nearest_versions_are_those_of_all_pairs(spark):
+    """Without a comparison of all pairs, in groups of versions of all forms."""
+    import random
+
+    rng = random.Random(4)
+    forms = ["1", "1.0", "1.0.0", "v1", "=1.0", "1-0", "1.0a", "1.0b", "a", "b", "ab", "a.b", ">=", "=", "v", "01", "1.00", "1.0.0.1", "0", "0.0", "00.0", "123456789012345678901.2", "0123456789012345678.2", "x0"]
+    made = forms + [".".join(str(rng.choice((0, 0, 1, 2, 5, 9, 11))) for _ in range(rng.randint(1, 5))) + rng.choice(("", "", "", "a", "rc1")) for _ in range(150)]
+    rows = [(f"g{g}", rng.choice(made)) for g in range(60) for _ in range(rng.choice((1, 2, 3, 5, 9, 30)))] + [("all", v) for v in made] + [(None, "1"), ("g1", None)]
+    df = spark.createDataFrame(rows, "g string, v string")
+    ranked = lambda j: {(r.g, r.v): r.best for r in j.groupBy("g", "v").agg(F.min(keys.version_rank("v", "n")).alias("best")).collect()}
+    want = ranked(df.distinct().join(df.distinct().select("g", F.col("v").alias("n")), "g").where("v <> n"))
+    found = versions.nearest(df, "g", "v")
+    got = ranked(found.withColumnRenamed("nearest", "n"))
+    assert found.where("v = nearest").count() == 0 and found.count() == len(got)
+    assert got == want and {b.tier for b in want.values()} == set(range(7))
