@@ -40,18 +40,22 @@ PAIRS = "train long, eval long, likeness double, matched_words long, longest_mat
 
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, train, text) to (id, train, key, chars)."""
+    """(id, train, text) to (id, train, key, chars, text)."""
     hashes = WordHashes()
     for batch in batches:
         texts = batch.column(2).to_pylist()
         for lo, hi in slices(texts):
             part = batch.slice(lo, hi - lo)
             keys = content_keys(*hashed_words(texts[lo:hi], hashes))
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(keys, pa.binary()), pa.array([len(t) for t in texts[lo:hi]], pa.int64())], names=["id", "train", "key", "chars"])
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(keys, pa.binary()), pa.array([len(t) for t in texts[lo:hi]], pa.int64()), part.column(2)], names=["id", "train", "key", "chars", "text"])
 
 
 def _grams(shingle: int):  # noqa: ANN202
-    """(id, text) to (doc, n, gram), a row for each of the n distinct sequences of a text."""
+    """(id, text) to (doc, n, gram), a row for each of the n distinct sequences of a text.
+
+    A sequence is sent as 40 bits of its hash: two that share them count as held by more texts, which may add
+    candidates and loses none.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hashes = WordHashes()
@@ -60,7 +64,7 @@ def _grams(shingle: int):  # noqa: ANN202
             for lo, hi in slices(texts):
                 own, grams = gram_hashes(*hashed_words(texts[lo:hi], hashes), shingle)
                 n = np.bincount(own, minlength=hi - lo)
-                yield pa.RecordBatch.from_arrays([pa.array(ids[lo:hi][own]), pa.array(n[own], pa.int64()), pa.array(grams.view(np.int64))], names=["doc", "n", "gram"])
+                yield pa.RecordBatch.from_arrays([pa.array(ids[lo:hi][own]), pa.array(n[own], pa.int64()), pa.array((grams >> np.uint64(24)).view(np.int64))], names=["doc", "n", "gram"])
 
     return run
 
@@ -172,30 +176,31 @@ def _search(shingle: int, threshold: float):  # noqa: ANN202
 
 def near_pairs(texts: DataFrame, threshold: float = 0.8, shingle: int = 5) -> DataFrame:
     """PAIRS of the rows (id, train, text) that are alike, one in training, the other not."""
-    usable = texts.select("id", "train", "text").where("id IS NOT NULL AND train IS NOT NULL AND text IS NOT NULL")
-    keyed = written(usable.mapInArrow(_keys, "id long, train boolean, key binary, chars long"), "keys")
+    usable = texts.select("id", "train", "text").where("id IS NOT NULL AND train IS NOT NULL AND text IS NOT NULL").dropDuplicates(["id", "train"])
+    keyed = written(usable.mapInArrow(_keys, "id long, train boolean, key binary, chars long, text string"), "keys")
     # One text stands for its copies on each side; copies across the sides are pairs without a search.
-    reps = keyed.groupBy("key", "train").agg(F.min("id").alias("rep"))
-    members = written(keyed.select("id", "train", "key").distinct().join(reps, ["key", "train"]).select("id", "train", "rep", "key"), "side-members")
-    unique = written(keyed.join(reps.select(F.col("rep").alias("id"), "train"), ["id", "train"], "left_semi").dropDuplicates(["id", "train"]).select("id", "train", "chars"), "unique")
-    rows = usable.dropDuplicates(["id", "train"]).join(unique, ["id", "train"], "left_semi")
-    grams = {train: rows.where(F.col("train") == train).select("id", "text").mapInArrow(_grams(shingle), "doc long, n long, gram long") for train in (True, False)}
+    # Texts are shuffled and written here once; what follows reads them where they are.
+    unique = written(keyed.groupBy("key", "train").agg(F.min_by(F.struct("id", "chars", "text"), "id").alias("r")).select("key", "train", "r.*"), "unique")
+    members = written(keyed.select("id", "train", "key").join(unique.select("key", "train", F.col("id").alias("rep")), ["key", "train"]).select("id", "train", "rep", "key"), "side-members")
+    grams = {train: unique.where(F.col("train") == train).select("id", "text").mapInArrow(_grams(shingle), "doc long, n long, gram long") for train in (True, False)}
     held_chars = unique.where("NOT train").agg(F.sum("chars").alias("n")).first()["n"] or 0
     shards = max(1, -(-held_chars // SHARD_CHARS))
     shard_of = F.pmod(F.xxhash64("eval"), F.lit(shards)).cast("long")
     places = written(grams[False].select("gram", F.col("doc").alias("eval")).groupBy("gram", shard_of.alias("shard")).agg(F.count("*").alias("texts")), "places")
-    met = grams[True].join(places.groupBy("gram").agg(F.least(F.sum("texts"), F.lit(COMMON)).alias("texts")), "gram")
+    # In the order of texts, then of sequences: the number of texts stands before the 40 bits.
+    ranked = places.groupBy("gram").agg((F.shiftleft(F.least(F.sum("texts"), F.lit(COMMON)), 40) + F.col("gram")).alias("rank"))
+    met = grams[True].join(ranked, "gram").select("doc", "n", "rank")
     # The rounding is taken off, so that a text of 5 sequences needs 3 of them at 0.6 and not 4.
     need = F.ceil(F.col("n") * threshold - 1e-6)
-    counted = met.withColumns({"place": F.row_number().over(Window.partitionBy("doc").orderBy("texts", "gram")), "present": F.count("*").over(Window.partitionBy("doc")), "need": need, "asked": F.ceil(need / 4)})
-    routed = counted.where("present >= need AND place <= present - need + asked").select("doc", "asked", "gram")
+    counted = met.withColumns({"place": F.row_number().over(Window.partitionBy("doc").orderBy("rank")), "present": F.count("*").over(Window.partitionBy("doc")), "need": need, "asked": F.ceil(need / 4)})
+    routed = counted.where("present >= need AND place <= present - need + asked").select("doc", "asked", F.col("rank").bitwiseAND(F.lit((1 << 40) - 1)).alias("gram"))
     shared = routed.join(places.select("gram", "shard"), "gram").groupBy("doc", "shard").agg(F.count("*").alias("shared"), F.first("asked").alias("asked"))
     routes = written(shared.where("shared >= asked").select("doc", "shard"), "routes")
     loads = routes.groupBy("shard").agg((F.count("*") / TASK_TEXTS).cast("int").alias("more"))
     salt = F.pmod(F.xxhash64("doc"), F.col("more") + 1)
     train_rows = routes.join(loads, "shard").select("doc", F.col("shard") * 100_000 + salt, F.lit(True)).toDF("id", "task", "train")
     eval_rows = unique.where("NOT train").select(F.col("id").alias("eval")).withColumn("shard", shard_of).join(loads, "shard").select("eval", F.explode(F.transform(F.sequence(F.lit(0), F.col("more")), lambda s: F.col("shard") * 100_000 + s)), F.lit(False)).toDF("id", "task", "train")
-    tasks = train_rows.union(eval_rows).join(usable.dropDuplicates(["id", "train"]), ["id", "train"])
+    tasks = train_rows.union(eval_rows).join(unique.select("id", "train", "text"), ["id", "train"])
     parts = max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2 * shards)
     ordered = tasks.select("task", "train", "id", "text").repartition(parts, "task").sortWithinPartitions("task", "train", "id")
     found = written(ordered.mapInArrow(_search(shingle, threshold), PAIRS), "overlaps")

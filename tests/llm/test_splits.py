@@ -161,3 +161,13 @@ def test_same_keys(spark):
     df = spark.createDataFrame([(1, True, "a", "x"), (2, False, "a", "x"), (3, False, "a", None), (4, False, "b", "x"), (1, True, "a", "x")], "id long, train boolean, k string, w string")
     assert [(r.train, r.eval) for r in same_keys(df, "k", "w").collect()] == [(1, 2)]
     assert same_keys(df.where(F.lit(False)), "k", "w").count() == 0
+
+
+def test_sequences_are_sent_as_forty_bits_of_distinct_rows():
+    import pyarrow as pa
+
+    from recordmill.llm.split_overlap import _grams
+
+    batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["a b c d e f a b c", "x y"])], names=["id", "text"])
+    got = pa.Table.from_batches(_grams(3)(iter([batch]))).to_pylist()
+    assert len(got) == 6 and {(r["doc"], r["n"]) for r in got} == {(1, 6)} and all(0 <= r["gram"] < 1 << 40 for r in got)
