@@ -354,3 +354,13 @@ def test_long_runs_are_searched_whole_and_soon():
     assert garbled.Restorer()(mixed) == (True, "Die Fehlerströme: prüft vórher die Größe, loci ± mobility – disµ-persion.")
     for line in ("loci Â± mobility below 0.66. Quality â€“ disÂµ-persion of genomes", "tool\n├── c.txt\n├───────── d.txt"):
         assert "Ð" not in garbled.Restorer()(line)[1] and not re.search("[Ѐ-ӿ]", garbled.Restorer()(line)[1])
+
+
+def test_validation_counts_all_rows_of_the_unseen_hosts(spark, monkeypatch):
+    hosts = [h for h in map(str, range(200)) if residue._held_out(h)][:4]
+    seen = next(h for h in map(str, range(200)) if not residue._held_out(h))
+    monkeypatch.setattr(residue, "SAMPLE_ROWS", 10)
+    rows = [(k, (BAD[0] if k % 3 == 0 else GOOD[0]), hosts[k % 4] if k % 5 else seen) for k in range(300)]
+    got = residue.validation(spark.createDataFrame(rows, "pos long, a string, host string"), "pos", ("a",), "host").first()
+    unseen = [r for r in rows if r[2] != seen]
+    assert (got.hosts, got["values"], got.weak) == (4, len(unseen), sum(r[1] == BAD[0] for r in unseen)) and got.agreed == got.weak
