@@ -50,8 +50,8 @@ def _across(spark: SparkSession, d: str) -> DataFrame:
     """(train, eval) of the records that are the same or nearly the same on both sides."""
     records = data.table(spark, d, "tool_records").select("pos", "help_text", "tool_id", "wrapper_path")
     sides = _sides(spark, d).select("pos", "train").distinct()
-    texts = records.where(data.word_count("help_text") >= 40).join(sides, "pos").select(F.col("pos").alias("id"), "train", F.col("help_text").alias("text"))
-    alike = split_overlap.near_pairs(texts, threshold=0.6, shingle=3).select("train", "eval")
+    texts = records.where(data.word_count("help_text") >= 40).select(F.col("pos").alias("id"), F.col("help_text").alias("text"))
+    alike = split_overlap.near_pairs(texts, threshold=0.6, shingle=3, sides=sides.withColumnRenamed("pos", "id")).select("train", "eval")
     tool = F.regexp_replace(F.lower(data.trimmed("tool_id")), "[-_ ]", "_")
     wrapper = data.path_form("wrapper_path")
     keyed = records.select("pos", F.when(data.trimmed("tool_id") != "", tool).alias("tool"), F.when(wrapper != "", wrapper).alias("wrapper"))

@@ -3,9 +3,13 @@
 Evaluation texts are spread over shards of about equal size and each shard is indexed. A training text is
 streamed only through the shards that can hold a partner of it. Of a text with n distinct sequences of
 ``shingle`` words, a partner holds need = ceil(threshold * n) or more, as likeness is never over the shared
-part of either text. So a text of which all evaluation texts together hold fewer than need is left out, and
-of any n - need + k of its sequences a partner's shard holds k or more. The rarest are taken, with k a quarter
-of need, so that sequences which very many texts hold route only what has little else. No pair over the
+part of either text. So a text of which all evaluation texts together hold fewer than need is left out. All
+sequences have one order, and the k-th of those that a pair shares has need - k or more shared ones behind it in
+either text: the first n - need + k of both texts hold k shared ones or more, whatever the order is. Only these are
+sent, with k a quarter of the training text's need, which is at most a quarter of the partner's sequences. The order
+begins with the rare, so that sequences which very many texts hold route only what has little else; it comes from
+a table of a fixed number of counters of all sequences of all evaluation texts, in which two that share a counter
+only count as commoner, and a counter of zero is of sequences that no evaluation text holds. No pair over the
 threshold is lost to this, whatever the texts are; nothing is sampled.
 
 In a shard the same bound gives the pairs that can be over the threshold: those with one of a text's n - need + 1
@@ -14,18 +18,20 @@ pairs that are left; their spans are merged and counted, and tell nothing about
 
 Cases: null texts and texts under ``min_words`` words are in no pair; copies of one word sequence are
 searched once and stand for each other; very long texts are taken whole; a record that is in both sides
-(it shouldn't be) is paired with others, never itself; repeated rows are one; no rows give no rows; other
-columns aren't read.
+(it shouldn't be) is paired with others, never itself; repeated rows are one, and of several texts of a record
+one is taken; no rows give no rows; other columns aren't read.
 """
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Iterator
 from functools import cached_property
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark import Broadcast
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..session import written
@@ -36,25 +42,99 @@ from .words import WordHashes, content_keys, gram_hashes, hashed_words, slices
 MATCH_WORDS = 5
 #: Characters of a shard's evaluation texts, training texts that pass one task of a shard, and evaluation texts from which sequences count as equally common (it orders them, and drops none).
 SHARD_CHARS, TASK_TEXTS, COMMON = 2_000_000, 20_000, 100
+#: Counters of sequences (one byte each when sent), and those in one row.
+COUNTERS, SLICE = 1 << 24, 1 << 16
 PAIRS = "train long, eval long, likeness double, matched_words long, longest_match long, spans long"
 
 
 def _keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(id, train, text) to (id, train, key, chars, text)."""
+    """(text, columns ...) to (key, chars, columns ...)."""
     hashes = WordHashes()
     for batch in batches:
-        texts = batch.column(2).to_pylist()
+        texts = batch.column(0).to_pylist()
         for lo, hi in slices(texts):
-            part = batch.slice(lo, hi - lo)
             keys = content_keys(*hashed_words(texts[lo:hi], hashes))
-            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(keys, pa.binary()), pa.array([len(t) for t in texts[lo:hi]], pa.int64()), part.column(2)], names=["id", "train", "key", "chars", "text"])
+            rest = batch.slice(lo, hi - lo)
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array([len(t) for t in texts[lo:hi]], pa.int64()), *rest.columns[1:]], names=["key", "chars", *rest.schema.names[1:]])
 
 
-def _grams(shingle: int):  # noqa: ANN202
+def _need(n, threshold: float):  # noqa: ANN001, ANN202
+    """Sequences of n that a partner holds at least; the rounding is taken off, so that of 5 at 0.6 it is 3 and not 4."""
+    return np.ceil(n * threshold - 1e-6).astype(np.int64)
+
+
+def _counters(grams: np.ndarray) -> np.ndarray:
+    return (grams & np.uint64(COUNTERS - 1)).view(np.int64)
+
+
+def _counted(shingle: int):  # noqa: ANN202
+    """Texts to (slice, counts), the slices of the table of counters that aren't zero."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hashes, counts = WordHashes(), np.zeros(COUNTERS, np.uint32)
+        for batch in batches:
+            texts = batch.column(0).to_pylist()
+            for lo, hi in slices(texts):
+                at, n = np.unique(_counters(gram_hashes(*hashed_words(texts[lo:hi], hashes), shingle)[1]), return_counts=True)
+                counts[at] += n.astype(np.uint32)
+        for k, part in enumerate(counts.reshape(-1, SLICE)):
+            if most := part.max():
+                packed = zlib.compress(part.astype(np.min_scalar_type(most)).tobytes(), 1)
+                yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([packed], pa.binary())], names=["slice", "counts"])
+
+    return run
+
+
+def _leveled(unit: int, most: int):  # noqa: ANN202
+    """(slice, counts) of all parts, by slice, to (slice, levels): a byte for each counter, 0 for zero only."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for k, packed in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+                raw = zlib.decompress(packed)
+                sums.setdefault(k, np.zeros(SLICE, np.uint32))[:] += np.frombuffer(raw, f"u{len(raw) // SLICE}")
+        for k, part in sums.items():
+            levels = np.minimum((part + np.uint32(unit - 1)) // np.uint32(unit), most).astype(np.uint8)
+            yield pa.RecordBatch.from_arrays([pa.array([k], pa.int64()), pa.array([levels.tobytes()], pa.binary())], names=["slice", "levels"])
+
+    return run
+
+
+def _levels(held: DataFrame, chars: int, shingle: int) -> np.ndarray:
+    """How common the sequences of each counter are among all evaluation texts, from 0 (held by none) to COMMON.
+
+    The unit is about the sequences of a counter on average, so that the order stays telling when all are in use.
+    """
+    unit = max(1, chars // 8 // COUNTERS)
+    parts = held.mapInArrow(_counted(shingle), "slice long, counts binary").repartition("slice")
+    levels = np.zeros((COUNTERS // SLICE, SLICE), np.uint8)
+    for row in parts.mapInArrow(_leveled(unit, min(COMMON, 255)), "slice long, levels binary").collect():  # at most COUNTERS bytes
+        levels[row["slice"]] = np.frombuffer(row["levels"], np.uint8)
+    return levels.ravel()
+
+
+def _first(own: np.ndarray, grams: np.ndarray, texts: int, levels: np.ndarray, threshold: float, train: bool) -> tuple[np.ndarray, np.ndarray]:
+    """Numbers of the sequences of each text that are sent, and how many of them a shard with a partner of it holds at least."""
+    n = np.bincount(own, minlength=texts)
+    need = _need(n, threshold)
+    # An evaluation text doesn't know how much of it a partner needs, but that is no more than all.
+    asked = -(-(need if train else n) // 4)
+    level = levels[_counters(grams)]
+    present = np.bincount(own[level > 0], minlength=texts)
+    present = np.where(present >= need, present, 0)
+    held = np.flatnonzero((level > 0) & (present > 0)[own])
+    # Sequences of a text come in the order of their hashes, and stay in it where levels are equal.
+    order = held[np.argsort(own[held] * 256 + level[held], kind="stable")]
+    place = np.arange(len(order)) - np.repeat(np.cumsum(present) - present, present)
+    return order[place < (present - need + asked)[own[order]]], asked
+
+
+def _grams(shingle: int, threshold: float = 0.0, levels: Broadcast | None = None, train: bool = True):  # noqa: ANN202
     """(id, text) to (doc, n, gram), a row for each of the n distinct sequences of a text.
 
-    A sequence is sent as 40 bits of its hash: two that share them count as held by more texts, which may add
-    candidates and loses none.
+    With levels, to (doc, asked, gram), a row for each of the sequences that are sent. A sequence is sent as 40 bits
+    of its hash: two that share them count as held by more texts, which may add candidates and loses none.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -64,16 +144,14 @@ def _grams(shingle: int):  # noqa: ANN202
             for lo, hi in slices(texts):
                 own, grams = gram_hashes(*hashed_words(texts[lo:hi], hashes), shingle)
                 n = np.bincount(own, minlength=hi - lo)
-                yield pa.RecordBatch.from_arrays([pa.array(ids[lo:hi][own]), pa.array(n[own], pa.int64()), pa.array((grams >> np.uint64(24)).view(np.int64))], names=["doc", "n", "gram"])
+                if levels is not None:
+                    sent, n = _first(own, grams, hi - lo, levels.value, threshold, train)
+                    own, grams = own[sent], grams[sent]
+                yield pa.RecordBatch.from_arrays([pa.array(ids[lo:hi][own]), pa.array(n[own], pa.int64()), pa.array((grams >> np.uint64(24)).view(np.int64))], names=["doc", "n" if levels is None else "asked", "gram"])
 
     return run
 
 
-def _need(n, threshold: float):  # noqa: ANN001, ANN202
-    """Sequences of n that a partner holds at least; the rounding is taken off, so that of 5 at 0.6 it is 3 and not 4."""
-    return np.ceil(n * threshold - 1e-6).astype(np.int64)
-
-
 class Shard:
     """One indexed shard and the exact sets of its texts."""
 
@@ -174,33 +252,36 @@ def _search(shingle: int, threshold: float):  # noqa: ANN202
     return run
 
 
-def near_pairs(texts: DataFrame, threshold: float = 0.8, shingle: int = 5) -> DataFrame:
-    """PAIRS of the rows (id, train, text) that are alike, one in training, the other not."""
-    usable = texts.select("id", "train", "text").where("id IS NOT NULL AND train IS NOT NULL AND text IS NOT NULL").dropDuplicates(["id", "train"])
-    keyed = written(usable.mapInArrow(_keys, "id long, train boolean, key binary, chars long, text string"), "keys")
+def near_pairs(texts: DataFrame, threshold: float = 0.8, shingle: int = 5, sides: DataFrame | None = None) -> DataFrame:
+    """PAIRS of the rows (id, train, text) that are alike, one in training, the other not.
+
+    With rows (id, train) in ``sides``, the texts are rows (id, text), and meet their sides without being moved.
+    """
+    at = ["id"] if sides is not None else ["id", "train"]
+    usable = texts.select("text", *at).where(" AND ".join(f"{c} IS NOT NULL" for c in ("text", *at))).withColumn("form", F.xxhash64("text"))
+    keys = usable.mapInArrow(_keys, f"key binary, chars long, {', '.join(f'{f.name} {f.dataType.simpleString()}' for f in usable.schema[1:])}")
+    if sides is not None:
+        keys = keys.join(sides.select("id", "train").where("id IS NOT NULL AND train IS NOT NULL").distinct(), "id")
+    keyed = written(keys.groupBy("id", "train").agg(F.min(F.struct("key", "form", "chars")).alias("r")).select("id", "train", "r.*"), "keys")
     # One text stands for its copies on each side; copies across the sides are pairs without a search.
+    reps = written(keyed.groupBy("key", "train").agg(F.min(F.struct("id", "form", "chars")).alias("r")).select("key", "train", "r.*"), "reps")
+    members = written(keyed.select("id", "train", "key").join(reps.select("key", "train", F.col("id").alias("rep")), ["key", "train"]).select("id", "train", "rep", "key"), "side-members")
     # Texts are shuffled and written here once; what follows reads them where they are.
-    unique = written(keyed.groupBy("key", "train").agg(F.min_by(F.struct("id", "chars", "text"), "id").alias("r")).select("key", "train", "r.*"), "unique")
-    members = written(keyed.select("id", "train", "key").join(unique.select("key", "train", F.col("id").alias("rep")), ["key", "train"]).select("id", "train", "rep", "key"), "side-members")
-    grams = {train: unique.where(F.col("train") == train).select("id", "text").mapInArrow(_grams(shingle), "doc long, n long, gram long") for train in (True, False)}
-    held_chars = unique.where("NOT train").agg(F.sum("chars").alias("n")).first()["n"] or 0
+    unique = written(usable.join(reps.select("id", "train", "form"), [*at, "form"]).dropDuplicates(["id", "form", "train"]).select("id", "train", "text"), "unique")
+    held_chars = reps.where("NOT train").agg(F.sum("chars").alias("n")).first()["n"] or 0
     shards = max(1, -(-held_chars // SHARD_CHARS))
     shard_of = F.pmod(F.xxhash64("eval"), F.lit(shards)).cast("long")
-    places = written(grams[False].select("gram", F.col("doc").alias("eval")).groupBy("gram", shard_of.alias("shard")).agg(F.count("*").alias("texts")), "places")
-    # In the order of texts, then of sequences: the number of texts stands before the 40 bits.
-    ranked = places.groupBy("gram").agg((F.shiftleft(F.least(F.sum("texts"), F.lit(COMMON)), 40) + F.col("gram")).alias("rank"))
-    met = grams[True].join(ranked, "gram").select("doc", "n", "rank")
-    # The rounding is taken off, so that a text of 5 sequences needs 3 of them at 0.6 and not 4.
-    need = F.ceil(F.col("n") * threshold - 1e-6)
-    counted = met.withColumns({"place": F.row_number().over(Window.partitionBy("doc").orderBy("rank")), "present": F.count("*").over(Window.partitionBy("doc")), "need": need, "asked": F.ceil(need / 4)})
-    routed = counted.where("present >= need AND place <= present - need + asked").select("doc", "asked", F.col("rank").bitwiseAND(F.lit((1 << 40) - 1)).alias("gram"))
-    shared = routed.join(places.select("gram", "shard"), "gram").groupBy("doc", "shard").agg(F.count("*").alias("shared"), F.first("asked").alias("asked"))
+    side = {train: unique.where(F.col("train") == train) for train in (True, False)}
+    levels = texts.sparkSession.sparkContext.broadcast(_levels(side[False].select("text"), held_chars, shingle))
+    sent = {train: rows.select("id", "text").mapInArrow(_grams(shingle, threshold, levels, train), "doc long, asked long, gram long") for train, rows in side.items()}
+    places = sent[False].select("gram", F.col("doc").alias("eval")).select("gram", shard_of.alias("shard")).distinct()
+    shared = sent[True].join(places, "gram").groupBy("doc", "shard").agg(F.count("*").alias("shared"), F.first("asked").alias("asked"))
     routes = written(shared.where("shared >= asked").select("doc", "shard"), "routes")
     loads = routes.groupBy("shard").agg((F.count("*") / TASK_TEXTS).cast("int").alias("more"))
     salt = F.pmod(F.xxhash64("doc"), F.col("more") + 1)
     train_rows = routes.join(loads, "shard").select("doc", F.col("shard") * 100_000 + salt, F.lit(True)).toDF("id", "task", "train")
-    eval_rows = unique.where("NOT train").select(F.col("id").alias("eval")).withColumn("shard", shard_of).join(loads, "shard").select("eval", F.explode(F.transform(F.sequence(F.lit(0), F.col("more")), lambda s: F.col("shard") * 100_000 + s)), F.lit(False)).toDF("id", "task", "train")
-    tasks = train_rows.union(eval_rows).join(unique.select("id", "train", "text"), ["id", "train"])
+    eval_rows = side[False].select(F.col("id").alias("eval")).withColumn("shard", shard_of).join(loads, "shard").select("eval", F.explode(F.transform(F.sequence(F.lit(0), F.col("more")), lambda s: F.col("shard") * 100_000 + s)), F.lit(False)).toDF("id", "task", "train")
+    tasks = train_rows.union(eval_rows).join(unique, ["id", "train"])
     parts = max(int(texts.sparkSession.conf.get("spark.sql.shuffle.partitions")), 2 * shards)
     ordered = tasks.select("task", "train", "id", "text").repartition(parts, "task").sortWithinPartitions("task", "train", "id")
     found = written(ordered.mapInArrow(_search(shingle, threshold), PAIRS), "overlaps")

@@ -171,3 +171,54 @@ def test_sequences_are_sent_as_forty_bits_of_distinct_rows():
     batch = pa.RecordBatch.from_arrays([pa.array([1, 2]), pa.array(["a b c d e f a b c", "x y"])], names=["id", "text"])
     got = pa.Table.from_batches(_grams(3)(iter([batch]))).to_pylist()
     assert len(got) == 6 and {(r["doc"], r["n"]) for r in got} == {(1, 6)} and all(0 <= r["gram"] < 1 << 40 for r in got)
+
+
+def test_first_sequences_of_a_pair_meet_in_any_order():
+    from recordmill.llm import split_overlap
+
+    rng = np.random.default_rng(11)
+    pairs = 0
+    for _ in range(300):
+        both, a, b = (np.unique(rng.integers(1, 1 << 63, n, np.uint64)) for n in rng.integers(1, 60, 3))
+        x, y = np.union1d(both, a), np.union1d(both, b[: rng.integers(0, len(b))])
+        # Levels in any order, only that those of an evaluation text aren't zero.
+        levels = rng.integers(0, 4, split_overlap.COUNTERS, np.uint8)
+        at = split_overlap._counters(y)
+        levels[at] = np.maximum(levels[at], 1)
+        likeness = len(np.intersect1d(x, y)) / len(np.union1d(x, y))
+        for threshold in (0.3, 0.6, 0.8):
+            if likeness >= threshold:
+                sent, asked = split_overlap._first(np.zeros(len(x), np.int64), x, 1, levels, threshold, True)
+                held, _ = split_overlap._first(np.zeros(len(y), np.int64), y, 1, levels, threshold, False)
+                assert len(np.intersect1d(x[sent], y[held])) >= asked[0] > 0
+                pairs += 1
+    assert pairs > 100
+
+
+def test_fewer_rows_are_shuffled_than_half_the_sequences(spark):
+    rng = random.Random(8)
+    text = lambda k: [f"w{k}x{rng.randint(0, 10**6)}" for _ in range(400)]
+    held = {k: text(k) for k in range(30)}
+    train = {100 + k: [*words[:380], *text(k)[:20]] for k, words in held.items()} | {200 + k: text(k) for k in range(60)}
+    rows = [(k, k >= 100, " ".join(words)) for k, words in [*held.items(), *train.items()]]
+    jvm, context = spark.sparkContext._jvm, spark.sparkContext._jsc.sc()
+
+    def sent():
+        context.listenerBus().waitUntilEmpty()
+        stages = context.statusStore().stageList(None, False, False, spark.sparkContext._gateway.new_array(jvm.double, 0), jvm.java.util.ArrayList())
+        return {s.stageId(): s.shuffleWriteRecords() for s in map(stages.apply, range(stages.size()))}
+
+    before = sent()
+    df = spark.createDataFrame(rows, "id long, train boolean, text string")
+    got = {(r.train, r.eval) for r in near_pairs(df, 0.6, 3).collect()}
+    assert got == {(100 + k, k) for k in held}
+    assert sum(n for k, n in sent().items() if k not in before) < 398 * len(rows) // 2
+
+
+def test_sides_beside_texts(spark):
+    """Sides in a table of their own: a record on both, one on none, repeated rows, a record with two texts."""
+    body = " ".join(f"w{k}" for k in range(60))
+    texts = spark.createDataFrame([(1, body), (1, body), (2, body + " end"), (3, body), (4, body), (5, None), (6, "z " * 50), (6, body)], "id long, text string")
+    sides = spark.createDataFrame([(1, True), (2, True), (2, False), (4, False), (4, False), (5, False), (9, True), (None, True), (6, None)], "id long, train boolean")
+    got = [(r.train, r.eval) for r in near_pairs(texts, 0.6, 3, sides).collect()]
+    assert sorted(got) == [(1, 2), (1, 4), (2, 4)]
